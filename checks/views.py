@@ -124,16 +124,19 @@ def level_codes(label: Column, bucket: Column) -> dict[str, Column]:
 
 def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One entry per (label, bucket): the mean vector of its group."""
-    means = F.array(
-        *[
-            F.round(F.avg(F.col("embedding")[i].cast("double")), 6).cast("float")
-            for i in range(VECTOR_SIZE)
-        ]
-    )
-    groups = (
+    key = ["label", "bucket"]
+    means = (
         table(spark, sf_dir, "embeddings")
-        .groupBy("label", (F.col("vec_id") % BUCKETS).cast("int").alias("bucket"))
-        .agg(means.alias("embedding"))
+        .select(
+            "label",
+            (F.col("vec_id") % BUCKETS).cast("int").alias("bucket"),
+            F.posexplode("embedding").alias("dim", "x"),
+        )
+        .groupBy(*key, "dim")
+        .agg(F.round(F.avg(F.col("x").cast("double")), 6).cast("float").alias("mean"))
+    )
+    groups = means.groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.struct("dim", "mean")))["mean"].alias("embedding")
     )
     label, bucket = F.col("label"), F.col("bucket")
     words = F.element_at(F.array(*[F.lit(w) for w in TASK_WORDS]), label % 4 + 1)

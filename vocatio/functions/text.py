@@ -15,9 +15,18 @@ from pyspark.sql import Column, functions as F
 
 from vocatio import fixed_values as fixed
 
-WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-NOT_WS = r"[^\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-LINE_BREAKS = r"[\n-\r\x1c-\x1e\x85\u2028\u2029]"
+# Single low characters become one bit set in Java's regex compiler; the rare
+# high ones hide behind one range test, so ordinary text fails two tests only.
+_LOW = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
+_HIGH = r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WS = rf"[{_LOW}[\u1680-\u3000&&[{_HIGH}]]]"
+NOT_WS = rf"[^{_LOW}{_HIGH}]"
+WS_CHARACTERS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+LINE_BREAKS = r"[\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]"
 DIGIT = r"\p{Nd}"
 
 # The counted form of the length test is only used while its regex stays small.
@@ -39,7 +48,7 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{WS}+|{WS}+\z", "")
+    return F.btrim(text, F.lit(WS_CHARACTERS))
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -93,7 +102,9 @@ def occupation_text(name: Column, task: Column) -> Column:
 def is_invalid_input(text: Column, minimum: int = fixed.MIN_INPUT_LEN) -> Column:
     """Too short to be matched, or the model's own 'not recognizable' answer."""
     stripped = strip(text_or_empty(text))
-    return (stripped == fixed.UNRECOGNIZED) | (F.length(stripped) < minimum)
+    if minimum > len(fixed.UNRECOGNIZED):
+        return F.length(stripped) < minimum
+    return (F.length(stripped) < minimum) | stripped.isin("", fixed.UNRECOGNIZED)
 
 
 def contains_any(text: Column, keywords: Column) -> Column:
@@ -145,10 +156,13 @@ def section_lines(
     negative_headers: list[str] = fixed.NEGATIVE_HEADERS,
 ) -> Column:
     """Split a text so that every header starts a line of its own."""
-    unified = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\r\t", "\n ")
+    unified = text
+    for found, replacement in (("\r\n", "\n"), ("\r", "\n"), ("\t", " ")):
+        unified = F.replace(unified, F.lit(found), F.lit(replacement))
+    # The look-behind follows the header, so that the search is for a literal.
     rewrites = _rewrites(
         duty_headers + negative_headers,
-        rf"(?<!\n){{word}}{WS}*[:：]?",
+        rf"{{word}}(?<!\n{{word}}){WS}*[:：]?",
         "\n{word}" + fixed.HEADER_COLON,
     )
     broken = _apply_in_order(unified, rewrites, lambda acc, word: F.contains(acc, word))
@@ -174,7 +188,8 @@ def duty_section(
         return F.when(stop > 0, F.slice(lines, 1, (stop - 1).cast("int"))).otherwise(lines)
 
     def strip_headers(line: Column) -> Column:
-        return strip(_apply_in_order(line, strips, lambda acc, word: F.startswith(acc, word)))
+        stripped = _apply_in_order(line, strips, lambda acc, word: F.startswith(acc, word))
+        return F.when(line.rlike(opens), strip(stripped)).otherwise(line)
 
     def choose(lines: Column) -> Column:
         start = F.array_position(F.transform(lines, lambda line: line.rlike(opens)), True)
@@ -243,7 +258,10 @@ def format_numbered(text: Column) -> Column:
         )
 
     def number(stripped: Column) -> Column:
-        broken = F.regexp_replace(stripped, rf"(?<!^)(?<!\n){WS}*{marker}", "\n$1. ")
+        broken = F.when(
+            stripped.rlike(rf"{DIGIT}{fixed.NUMBER_DELIMITERS}"),
+            F.regexp_replace(stripped, rf"(?={WS}|{DIGIT})(?<!^)(?<!\n){WS}*{marker}", "\n$1. "),
+        ).otherwise(stripped)
         lines = F.transform(F.split(broken, LINE_BREAKS), strip)
         items = F.transform(F.filter(lines, lambda line: line != ""), finish)
         as_is = (stripped == "") | (stripped == fixed.UNRECOGNIZED)

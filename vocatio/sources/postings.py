@@ -60,10 +60,9 @@ def _drop_or_refuse_long_rows(df: DataFrame, bad_rows: str) -> DataFrame:
 
 
 def position_columns(year_from: str = "file") -> list[Column]:
-    """``year``, ``ord_file`` and ``ord_pos`` of rows straight above a scan.
+    """``year`` and ``ord_file`` of rows straight above a scan.
 
-    The year is in the file's name, or in the name of its folder. The order
-    columns record where a row stood: rows of a DataFrame have no order.
+    The year is in the file's name, or in the name of its folder.
     """
     names = {
         "file": F.col("_metadata.file_name"),
@@ -72,7 +71,6 @@ def position_columns(year_from: str = "file") -> list[Column]:
     return [
         rules.year_from_name(names[year_from]).alias("year"),
         F.col("_metadata.file_path").alias("ord_file"),
-        F.monotonically_increasing_id().alias("ord_pos"),
     ]
 
 
@@ -84,7 +82,8 @@ def read_postings(
 ) -> DataFrame:
     """All cells as text, plus ``year``, ``ord_file`` and ``ord_pos``.
 
-    Files with different headers are read separately and united by column
+    The order columns record where a row stood: rows of a DataFrame have no
+    order of their own. Files with different headers are read separately and united by column
     name. Rows with too many cells are skipped, or fail the job.
     """
     if bad_rows not in ("skip", "fail"):
@@ -98,7 +97,11 @@ def read_postings(
             spark.read.options(**CSV_OPTIONS)
             .schema(text_schema([*names, _OVERFLOW]))
             .csv([path for path, header in zip(files, headers) if header == names])
-            .select("*", *position_columns(year_from))
+            .select(
+                "*",
+                *position_columns(year_from),
+                F.monotonically_increasing_id().alias("ord_pos"),
+            )
         )
         parts.append(_drop_or_refuse_long_rows(rows, bad_rows))
     if not parts:

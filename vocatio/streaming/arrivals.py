@@ -7,7 +7,10 @@ Streams run with ``availableNow``: they take what has arrived, then end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vocatio import fixed_values as fixed
@@ -22,6 +25,24 @@ from vocatio.sources.datasets import (
 from vocatio.sources.postings import CSV_OPTIONS, position_columns, text_schema
 
 
+def _position_in_task(column: Column) -> Column:
+    """Running row number within the task that reads a file.
+
+    Streams do not offer ``monotonically_increasing_id``. One file is read by
+    one task and in order, so this number orders the rows of a file. Only
+    ``column`` is sent to Python, for its length.
+    """
+
+    @F.arrow_udf("bigint")
+    def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        start = 0
+        for batch in batches:
+            yield pa.array(range(start, start + len(batch)), pa.int64())
+            start += len(batch)
+
+    return number.asNondeterministic()(column)
+
+
 def stream_postings(
     spark: SparkSession,
     folder: str,
@@ -36,7 +57,8 @@ def stream_postings(
         .schema(text_schema(columns))
         .option("recursiveFileLookup", "true")
         .csv(folder)
-        .select(*columns, *position_columns(year_from))
+        .select("*", *position_columns(year_from))
+        .withColumn("ord_pos", _position_in_task(F.col("ord_file")))
     )
 
 
