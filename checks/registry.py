@@ -257,13 +257,18 @@ def embed_texts(spark, sf_dir):
     text = F.col("text")
     valid = F.when(~rules.is_invalid_input(text), text)
     return (
-        views.table(spark, sf_dir, "documents")
+        views.documents(spark, sf_dir)
         .select("doc_id", models.embedded(valid, lambda: models.letter_profile()).alias("v"))
         .select("doc_id", F.posexplode("v").alias("dim", "value"))
         .withColumn("value", F.round(F.col("value").cast("double"), 6))
     )
 
 
+def _dictionary(spark, sf_dir):
+    """A dimension of 160 rows at most, held once for its several uses."""
+    return dictionary.prepare_dictionary(views.occupations(spark, sf_dir)).cache()
+
+
 @registered(
     sql.with_ctes(
         {"jobs": sql.JOBS, "occ": sql.OCCUPATIONS, **sql.search_ctes()},
@@ -271,14 +276,10 @@ def embed_texts(spark, sf_dir):
     )
 )
 def cosine_topk(spark, sf_dir):
-    found = add_candidates(views.jobs(spark, sf_dir), views.occupations(spark, sf_dir), NEAR)
+    found = add_candidates(views.jobs(spark, sf_dir), _dictionary(spark, sf_dir), NEAR)
     return candidate_rows(found, "doc_id")
 
 
-def _dictionary(spark, sf_dir):
-    return dictionary.prepare_dictionary(views.occupations(spark, sf_dir))
-
-
 def _matched(spark, sf_dir, settings=NEAR, **options):
     return match(views.jobs(spark, sf_dir), _dictionary(spark, sf_dir), settings, **options)
 
@@ -336,8 +337,8 @@ def match_stats(spark, sf_dir):
 def _final(spark, sf_dir, details=True, best_only=False):
     return crosswalk.add_crosswalk(
         _matched(spark, sf_dir),
-        views.mapping(spark, sf_dir),
-        views.detail(spark, sf_dir) if details else None,
+        views.mapping(spark, sf_dir).cache(),
+        views.detail(spark, sf_dir).cache() if details else None,
         best_only=best_only,
     )
 
@@ -604,9 +605,11 @@ CLASSIFIED = {
 def _job(spark, sf_dir):
     entries = dictionary.prepare_dictionary(views.part_occupations(spark, sf_dir))
     return Job(
-        dictionary=dictionary.embedded_dictionary(entries, lambda: models.letter_profile()),
-        mapping=views.mapping(spark, sf_dir),
-        detail=views.detail(spark, sf_dir),
+        dictionary=dictionary.embedded_dictionary(
+            entries, lambda: models.letter_profile()
+        ).cache(),
+        mapping=views.mapping(spark, sf_dir).cache(),
+        detail=views.detail(spark, sf_dir).cache(),
         embed=lambda: models.letter_profile(),
         rerank=lambda: models.word_overlap(),
         settings=MatchSettings(

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vocatio.sources.datasets import read_spread
+
 VECTOR_SIZE = 64
 BUCKETS = 16
 
@@ -30,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, spread over the cores for work that is heavy per text."""
+    return read_spread(spark, f"{sf_dir}/documents.parquet", "doc_id")
+
+
 def year_of(number: Column) -> Column:
     return (F.lit(2015) + number % 10).cast("string")
 
@@ -73,7 +80,7 @@ def headed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("lang") == "de", F.concat(F.lit("工作职责\n任职要求: "), text))
         .otherwise(F.concat(text, F.lit("\r\n福利待遇\t"), text))
     )
-    return table(spark, sf_dir, "documents").select("doc_id", headed.alias("raw"))
+    return documents(spark, sf_dir).select("doc_id", headed.alias("raw"))
 
 
 def numbered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +91,7 @@ def numbered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("lang") == "fr", F.concat(F.lit("1、"), text, F.lit("。2）"), source))
         .otherwise(F.concat(F.lit("1) "), text, F.lit(" 12.  "), source, F.lit("!")))
     )
-    return table(spark, sf_dir, "documents").select("doc_id", numbered.alias("raw"))
+    return documents(spark, sf_dir).select("doc_id", numbered.alias("raw"))
 
 
 def raw_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,26 @@ def read_dataset(spark: SparkSession, root: str, years: list[str] | None = None)
     return df
 
 
+SMALL_BYTES_PER_CORE = 128 * 1024 * 1024
+
+
+def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A Parquet table whose rows use all cores even if its files do not.
+
+    A small table often comes as one row group, which is one task. Below
+    128 MB per core it is repartitioned by ``key``, which moves little data
+    and pays off before expensive work per row. Larger tables have enough
+    splits of their own and are not shuffled.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    total_bytes = listed.agg(F.sum("length")).first()[0] or 0
+    table = spark.read.parquet(path)
+    if total_bytes > cores * SMALL_BYTES_PER_CORE:
+        return table
+    return table.repartition(cores, key)
+
+
 def read_if_present(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return read_dataset(spark, root)
