@@ -413,7 +413,8 @@ def onet_prefix_trend(spark, sf_dir):
 @registered(
     sql.with_ctes(
         FINAL,
-        """SELECT year, is_match, count(*) AS cnt, round(avg(embed_score), 6) AS avg_score
+        """SELECT year, is_match, count(*) AS cnt,
+                  CAST(sum(CAST(embed_score AS DECIMAL(18, 6))) AS DOUBLE) / count(embed_score) AS avg_score
            FROM final GROUP BY 1, 2 ORDER BY 1, 2""",
     )
 )

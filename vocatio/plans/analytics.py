@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from vocatio.functions.vectors import SCORE_DIGITS
+
 
 def of_year(final: DataFrame, year: str) -> DataFrame:
     """Rows of one year; a partition filter on the stored dataset."""
@@ -24,12 +26,17 @@ def occupation_trend(final: DataFrame, code_prefix: str) -> DataFrame:
 
 
 def match_quality(final: DataFrame) -> DataFrame:
-    """Rows and mean similarity per year and match outcome."""
+    """Rows and mean similarity per year and match outcome.
+
+    Scores have six decimals and are summed as such, so the mean does not
+    depend on the order in which partial sums meet.
+    """
+    exact_sum = F.sum(F.col("embed_score").cast(f"decimal(18,{SCORE_DIGITS})"))
     return (
         final.groupBy("year", "is_match")
         .agg(
             F.count(F.lit(1)).alias("cnt"),
-            F.round(F.avg("embed_score"), 6).alias("avg_score"),
+            (exact_sum.cast("double") / F.count("embed_score")).alias("avg_score"),
         )
         .orderBy("year", "is_match")
     )

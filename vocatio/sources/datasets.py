@@ -8,7 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vocatio import fixed_values as fixed
-from vocatio.operators.sizing import measure
 
 _NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -25,6 +24,12 @@ def read_dataset(spark: SparkSession, root: str, years: list[str] | None = None)
 SMALL_BYTES_PER_CORE = 128 * 1024 * 1024
 
 
+def size_on_disk(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path, from their listing only."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return listed.agg(F.sum("length")).first()[0] or 0
+
+
 def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
     """A Parquet table whose rows use all cores even if its files do not.
 
@@ -34,10 +39,8 @@ def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
     splits of their own and are not shuffled.
     """
     cores = spark.sparkContext.defaultParallelism
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    total_bytes = listed.agg(F.sum("length")).first()[0] or 0
     table = spark.read.parquet(path)
-    if total_bytes > cores * SMALL_BYTES_PER_CORE:
+    if size_on_disk(spark, path) > cores * SMALL_BYTES_PER_CORE:
         return table
     return table.repartition(cores, key)
 
@@ -147,20 +150,19 @@ def compact_year(
 ) -> int | None:
     """Rewrite one year as a few large files; its row count, or None if absent.
 
-    The number of files follows from the measured size, so a large year is
-    written by many tasks instead of passing through one.
+    The number of files follows from the size on disk, so a large year is
+    written by many tasks instead of passing through one. Nothing is shuffled.
     """
     stored = read_if_present(spark, root)
     if stored is None:
         return None
     rows_of_year = stored.where(F.col("year") == str(year))
-    rows, total_bytes = measure(rows_of_year)
-    if not rows:
+    if rows_of_year.isEmpty():
         return None
     target = f"{output_folder.rstrip('/')}/{template.format(year=year)}"
-    files = max(1, math.ceil(total_bytes / target_file_bytes))
+    stored_bytes = size_on_disk(spark, f"{root.rstrip('/')}/year={year}")
     (
-        rows_of_year.repartition(files)
+        rows_of_year.coalesce(max(1, math.ceil(stored_bytes / target_file_bytes)))
         .write.mode("overwrite")
         .option("compression", "snappy")
         .parquet(target)

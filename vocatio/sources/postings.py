@@ -83,8 +83,9 @@ def read_postings(
     """All cells as text, plus ``year``, ``ord_file`` and ``ord_pos``.
 
     The order columns record where a row stood: rows of a DataFrame have no
-    order of their own. Files with different headers are read separately and united by column
-    name. Rows with too many cells are skipped, or fail the job.
+    order of their own. Files with different headers are read separately and
+    united by column name. Rows with too many cells are skipped, or fail the
+    job. Files without a byte are not listed.
     """
     if bad_rows not in ("skip", "fail"):
         raise ValueError("bad_rows must be 'skip' or 'fail'")
