@@ -363,7 +363,7 @@ def crosswalk_best_only(spark, sf_dir):
 @registered(
     sql.with_ctes(
         {**sql.match_ctes(min_score=0.5), "mapping": sql.MAPPING},
-        """SELECT total, failed, round(failed / total, 6) AS failure_rate, failed / total > 0.05 AS alarm
+        """SELECT total, failed, failed / total AS failure_rate, failed / total > 0.05 AS alarm
            FROM (SELECT count(*) AS total, count(*) FILTER (match_Level4_Code <> ''
                    AND match_Level4_Code NOT IN (SELECT dadian_code FROM mapping)) AS failed
                  FROM matched) WHERE total > 0""",
@@ -496,7 +496,7 @@ def csv_roundtrip(spark, sf_dir):
     folder = fresh_folder(spark, "csv")
     datasets.write_csv(views.postings(spark, sf_dir), folder)
     return read_postings(spark, f"{folder}/*/*.csv", year_from="folder").drop(
-        "ord_file", "ord_pos"
+        *clean.ORDER_COLUMNS
     )
 
 
@@ -538,7 +538,7 @@ def ingest_and_refresh(spark, sf_dir):
     stream = arrivals.stream_postings(spark, inbox, columns, 8, year_from="folder")
     arrivals.start_append(stream, raw, state).awaitTermination()
     arrivals.refresh_years(spark, raw, out)
-    return datasets.read_dataset(spark, out).drop("ord_file", "ord_pos")
+    return datasets.read_dataset(spark, out).drop(*clean.ORDER_COLUMNS)
 
 
 @registered(sql.with_ctes(sql.CLEANING, "SELECT * FROM clean WHERE year > '2019'"))

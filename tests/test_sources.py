@@ -20,7 +20,7 @@ def put(folder, name, content):
 
 
 def texts(df):
-    rows = df.orderBy("ord_file", "ord_pos").collect()
+    rows = df.orderBy("ord_file", "ord_block", "ord_pos").collect()
     return [(r["rec_id"], r["position_responsibilities"], r["city"]) for r in rows]
 
 
@@ -42,7 +42,7 @@ def test_cells_of_all_kinds(spark, folder):
         + b"g,bad \xff byte,w\n",
     )
     df = postings.read_postings(spark, f"{folder}/*.csv")
-    assert df.columns == [*HEADER.strip().split(","), "year", "ord_file", "ord_pos"]
+    assert df.columns == [*HEADER.strip().split(","), "year", "ord_file", "ord_block", "ord_pos"]
     assert texts(df) == [
         ("a", 'line one\nline "two", end', "x"),
         ("b", " padded ", "y"),
@@ -53,7 +53,18 @@ def test_cells_of_all_kinds(spark, folder):
     ]
     assert {r["year"] for r in df.collect()} == {"2021"}
     with pytest.raises(Exception, match="too many cells"):
-        postings.read_postings(spark, f"{folder}/*.csv", bad_rows="fail").collect()
+        postings.read_postings(spark, f"{folder}/*.csv", bad_rows="fail").count()
+
+
+def test_split_files_keep_their_order(spark, folder):
+    put(folder, "p_2020.csv", HEADER + "".join(f"{i},t{i},x\n" for i in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        df = postings.read_postings(spark, folder, multi_line=False)
+        assert df.select("ord_block").distinct().count() > 3
+        assert [int(i) for i, _, _ in texts(df)] == list(range(20000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_windows_line_ends(spark, folder):

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vocatio import fixed_values as fixed
 from vocatio.functions import text as rules
 
-ORDER_COLUMNS = ("ord_file", "ord_pos")
+ORDER_COLUMNS = ("ord_file", "ord_block", "ord_pos")
 
 
 def require_columns(df: DataFrame, names: list[str]) -> None:

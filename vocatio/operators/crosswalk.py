@@ -93,6 +93,6 @@ def join_report(
     return totals.select(
         "total",
         "failed",
-        F.round(rate, 6).alias("failure_rate"),
+        rate.alias("failure_rate"),
         (rate > alarm_above).alias("alarm"),
     )

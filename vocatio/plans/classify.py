@@ -81,16 +81,19 @@ def classify(
     start_from: str = "clean",
     only: str | None = None,
     store: str | None = None,
+    years: list[str] | None = None,
 ) -> DataFrame:
     """Run the stages, all years in one job.
 
     ``postings`` is the input of the first chosen stage. With ``store`` each
     stage is written below that folder and the next one reads it back: model
     answers are kept, and a lost executor cannot make a later stage repeat
-    them. Without it the stages form one lazy plan.
+    them. ``years`` are the years of the input; give them where they are known,
+    or they are looked up. Without ``store`` the stages form one lazy plan.
     """
     spark = postings.sparkSession
-    years = years_in(postings) if store is not None else None
+    if store is not None and years is None:
+        years = years_in(postings)
     df = postings
     for stage in chosen_stages(start_from, only):
         df = _RUN[stage](df, job)

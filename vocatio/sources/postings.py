@@ -1,8 +1,9 @@
 """Reading yearly postings files.
 
-A quoted cell may hold line breaks, so such a file cannot be split: one file
-is one task. Parse each file once and store it as Parquet; all later work is
-parallel. Large years should arrive as several files.
+A quoted cell may hold line breaks. Such a file cannot be split: one file is
+one task, so a large year should arrive as several files, and each file should
+be parsed once and stored as Parquet. Files known to have no line breaks in
+their cells are read with ``multi_line=False`` and split like any text.
 """
 
 from __future__ import annotations
@@ -37,6 +38,13 @@ def list_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
     return sorted(row["path"] for row in listed.collect())
 
 
+def years_of_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The years in the names of files, without opening them."""
+    name = F.element_at(F.split("path", "/"), -1)
+    listed = spark.read.format("binaryFile").load(paths).select(rules.year_from_name(name))
+    return sorted(row[0] for row in listed.distinct().collect())
+
+
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names of a file, from its first line."""
     names = spark.read.options(**CSV_OPTIONS).csv(path).columns
@@ -55,14 +63,16 @@ def _drop_or_refuse_long_rows(df: DataFrame, bad_rows: str) -> DataFrame:
     if bad_rows == "skip":
         return df.where(~too_long).drop(_OVERFLOW)
     message = F.concat(F.lit("row with too many cells in "), F.col("ord_file"))
-    checked = F.when(too_long, F.raise_error(message).cast("long")).otherwise(F.col("ord_pos"))
-    return df.withColumn("ord_pos", checked).drop(_OVERFLOW)
+    checked = F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return df.where(checked).drop(_OVERFLOW)
 
 
 def position_columns(year_from: str = "file") -> list[Column]:
-    """``year`` and ``ord_file`` of rows straight above a scan.
+    """``year``, ``ord_file`` and ``ord_block`` of rows straight above a scan.
 
-    The year is in the file's name, or in the name of its folder.
+    The year is in the file's name, or in the name of its folder. The order
+    columns record where a row stood: rows of a DataFrame have no order of
+    their own. A file that is split has several blocks.
     """
     names = {
         "file": F.col("_metadata.file_name"),
@@ -71,6 +81,7 @@ def position_columns(year_from: str = "file") -> list[Column]:
     return [
         rules.year_from_name(names[year_from]).alias("year"),
         F.col("_metadata.file_path").alias("ord_file"),
+        F.col("_metadata.file_block_start").alias("ord_block"),
     ]
 
 
@@ -79,13 +90,13 @@ def read_postings(
     paths: str | list[str],
     bad_rows: str = "skip",
     year_from: str = "file",
+    multi_line: bool = True,
 ) -> DataFrame:
-    """All cells as text, plus ``year``, ``ord_file`` and ``ord_pos``.
+    """All cells as text, plus ``year`` and the order columns.
 
-    The order columns record where a row stood: rows of a DataFrame have no
-    order of their own. Files with different headers are read separately and
-    united by column name. Rows with too many cells are skipped, or fail the
-    job. Files without a byte are not listed.
+    ``ord_pos`` orders the rows of a block. Files with different headers are
+    read separately and united by column name. Rows with too many cells are
+    skipped, or fail the job. Files without a byte are not listed.
     """
     if bad_rows not in ("skip", "fail"):
         raise ValueError("bad_rows must be 'skip' or 'fail'")
@@ -95,7 +106,7 @@ def read_postings(
     parts = []
     for names in dict.fromkeys(headers):
         rows = (
-            spark.read.options(**CSV_OPTIONS)
+            spark.read.options(**CSV_OPTIONS | {"multiLine": str(multi_line).lower()})
             .schema(text_schema([*names, _OVERFLOW]))
             .csv([path for path, header in zip(files, headers) if header == names])
             .select(

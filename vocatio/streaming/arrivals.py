@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vocatio import fixed_values as fixed
 from vocatio.functions import text as rules
-from vocatio.operators.clean import clean_postings
+from vocatio.operators.clean import ORDER_COLUMNS, clean_postings
 from vocatio.sources.datasets import (
     read_dataset,
     skip_finished_years,
@@ -82,7 +82,7 @@ def distinct_on_arrival(
     min_effective_len: int = fixed.MIN_EFFECTIVE_LEN,
     id_column: str = fixed.ID_COLUMN,
     text_column: str = fixed.TEXT_COLUMN,
-    order_columns: tuple[str, ...] = ("ord_file", "ord_pos"),
+    order_columns: tuple[str, ...] = ORDER_COLUMNS,
     salts: int = 16,
 ) -> DataFrame:
     """Stateful dedup per (year, id), then the length filter.
