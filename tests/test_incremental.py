@@ -42,7 +42,7 @@ def test_a_stream_resumes_and_takes_each_file_once(spark, folder):
     put(f"{folder}/in", "p_2020.csv", [("a", LONG + "1"), ("b", "two\nlines")])
     assert ingest(spark, folder).count() == 2
     assert ingest(spark, folder).count() == 2
-    put(f"{folder}/in", "p_2021.csv", [("a", LONG + "2")])
+    put(f"{folder}/in", "p_2021.csv", [("a", LONG + "2"), ("too,many", "cells")])
     rows = ingest(spark, folder)
     assert sorted((r["year"], r["rec_id"]) for r in rows.collect()) == [
         ("2020", "a"), ("2020", "b"), ("2021", "a"),

@@ -123,18 +123,24 @@ def _block_search(block, k: int):
 def bounded_blocks(dictionary: DataFrame, max_block_bytes: int) -> Iterator[pa.Table]:
     """Bring a dictionary to the driver in blocks of bounded size, one at a time.
 
-    Ranges of ``occ_idx`` cut the blocks. A dictionary within the bound, which
-    is the normal case, is one block read by one job.
+    A dictionary within the bound, which is the normal case, is one block read
+    by one job. A larger one is cut at quantiles of ``occ_idx``.
     """
-    rows, total_bytes, low, high = measure(dictionary, F.min("occ_idx"), F.max("occ_idx"))
+    rows, total_bytes = measure(dictionary)
     if not rows:
         return
     blocks = -(-total_bytes // max_block_bytes)
-    step = -(-(high - low + 1) // blocks)
-    for start in range(low, high + 1, step):
+    shares = [i / blocks for i in range(1, blocks)]
+    cuts = [None, None]
+    if shares:
+        quantiles = F.percentile_approx("occ_idx", shares, 100 * blocks)
+        cuts[1:1] = sorted(set(dictionary.agg(quantiles).first()[0]))
+    for above, upto in zip(cuts, cuts[1:]):
         part = dictionary
-        if blocks > 1:
-            part = dictionary.where(F.col("occ_idx").between(start, start + step - 1))
+        if above is not None:
+            part = part.where(F.col("occ_idx") > above)
+        if upto is not None:
+            part = part.where(F.col("occ_idx") <= upto)
         table = part.orderBy("occ_idx").toArrow()
         if table.num_rows:
             yield table
@@ -157,8 +163,9 @@ def cosine_topk(
 ) -> Column:
     """The k nearest dictionary entries of a vector, as sorted (occ_idx, score).
 
-    ``dictionary`` has ``occ_idx`` and ``embedding``. It is broadcast, never
-    joined, so the postings are neither shuffled nor multiplied. A dictionary
+    ``dictionary`` has ``occ_idx`` and ``embedding``; give a stored or cached
+    one, as it is read more than once. It is broadcast, never joined, so the
+    postings are neither shuffled nor multiplied. A dictionary
     beyond ``max_block_bytes`` is broadcast in blocks: each block's candidates
     are merged into the running k best, which keeps the search exact for any
     dictionary size. Null vectors give null; fewer than k entries give all.

@@ -9,21 +9,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vocatio import fixed_values as fixed
 
+_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
+SMALL_BYTES_PER_CORE = 128 * 1024 * 1024
 _NO_DATA = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_dataset(spark: SparkSession, root: str, years: list[str] | None = None) -> DataFrame:
     """A partitioned dataset; partition values stay text (``00`` is not 0)."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    df = spark.read.parquet(root)
+    before = spark.conf.get(_INFERENCE)
+    spark.conf.set(_INFERENCE, "false")
+    try:
+        df = spark.read.parquet(root)
+    finally:
+        spark.conf.set(_INFERENCE, before)
     if years is not None:
         df = df.where(F.col("year").isin([str(year) for year in years]))
     return df
 
 
-SMALL_BYTES_PER_CORE = 128 * 1024 * 1024
-
-
 def size_on_disk(spark: SparkSession, path: str) -> int:
     """Bytes of the files below a path, from their listing only."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -25,7 +25,7 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
 }
 HEADER_READERS = 16
-_OVERFLOW = "__overflow"
+OVERFLOW = "__overflow"
 
 
 def input_path(folder: str, year: str | int, template: str = fixed.RAW_FILE_TEMPLATE) -> str:
@@ -57,14 +57,16 @@ def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
-def _drop_or_refuse_long_rows(df: DataFrame, bad_rows: str) -> DataFrame:
+def check_row_lengths(df: DataFrame, bad_rows: str) -> DataFrame:
     """Rows with more cells than the header: skip them, or fail the job."""
-    too_long = F.col(_OVERFLOW).isNotNull()
+    if bad_rows not in ("skip", "fail"):
+        raise ValueError("bad_rows must be 'skip' or 'fail'")
+    too_long = F.col(OVERFLOW).isNotNull()
     if bad_rows == "skip":
-        return df.where(~too_long).drop(_OVERFLOW)
+        return df.where(~too_long).drop(OVERFLOW)
     message = F.concat(F.lit("row with too many cells in "), F.col("ord_file"))
     checked = F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return df.where(checked).drop(_OVERFLOW)
+    return df.where(checked).drop(OVERFLOW)
 
 
 def position_columns(year_from: str = "file") -> list[Column]:
@@ -98,8 +100,6 @@ def read_postings(
     read separately and united by column name. Rows with too many cells are
     skipped, or fail the job. Files without a byte are not listed.
     """
-    if bad_rows not in ("skip", "fail"):
-        raise ValueError("bad_rows must be 'skip' or 'fail'")
     files = list_files(spark, paths)
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(lambda path: tuple(header_of(spark, path)), files))
@@ -107,7 +107,7 @@ def read_postings(
     for names in dict.fromkeys(headers):
         rows = (
             spark.read.options(**CSV_OPTIONS | {"multiLine": str(multi_line).lower()})
-            .schema(text_schema([*names, _OVERFLOW]))
+            .schema(text_schema([*names, OVERFLOW]))
             .csv([path for path, header in zip(files, headers) if header == names])
             .select(
                 "*",
@@ -115,7 +115,7 @@ def read_postings(
                 F.monotonically_increasing_id().alias("ord_pos"),
             )
         )
-        parts.append(_drop_or_refuse_long_rows(rows, bad_rows))
+        parts.append(check_row_lengths(rows, bad_rows))
     if not parts:
         raise FileNotFoundError(f"no postings files at {paths}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -22,7 +22,13 @@ from vocatio.sources.datasets import (
     write_dataset,
     years_in,
 )
-from vocatio.sources.postings import CSV_OPTIONS, position_columns, text_schema
+from vocatio.sources.postings import (
+    CSV_OPTIONS,
+    OVERFLOW,
+    check_row_lengths,
+    position_columns,
+    text_schema,
+)
 
 
 def _position_in_task(column: Column) -> Column:
@@ -49,17 +55,19 @@ def stream_postings(
     columns: list[str],
     max_files_per_trigger: int = 8,
     year_from: str = "file",
+    bad_rows: str = "skip",
 ) -> DataFrame:
     """Postings files as they arrive, with year and order columns."""
-    return (
+    rows = (
         spark.readStream.options(**CSV_OPTIONS)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .schema(text_schema(columns))
+        .schema(text_schema([*columns, OVERFLOW]))
         .option("recursiveFileLookup", "true")
         .csv(folder)
         .select("*", *position_columns(year_from))
-        .withColumn("ord_pos", _position_in_task(F.col("ord_file")))
     )
+    checked = check_row_lengths(rows, bad_rows)
+    return checked.withColumn("ord_pos", _position_in_task(F.col("ord_file")))
 
 
 def start_append(
