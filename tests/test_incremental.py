@@ -174,6 +174,11 @@ def test_stored_stages_equal_the_lazy_plan(spark, job, posted, folder):
     assert read_dataset(spark, f"{folder}/crosswalk").count() == 2
 
 
+def test_nothing_left_after_cleaning(spark, job, posted, folder):
+    none = posted.where("rec_id = 'c'")
+    assert classify(none, job, store=folder).count() == 0
+
+
 def test_ranges_of_stages(job, posted):
     assert chosen_stages() == STAGES
     assert chosen_stages("match") == ("match", "crosswalk")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -34,14 +35,11 @@ def with_keywords(
 ) -> DataFrame:
     """Attach the keyword list of every occupation that has a rule.
 
-    The rules are a parameter of a few entries, so they become a literal of
-    the plan; occupations without a rule get null.
+    The rules are a parameter of a few entries, so they become one literal map
+    of the plan; occupations without a rule get null.
     """
-    keywords = F.lit(None).cast("array<string>")
-    for occupation, words in occupations.items():
-        listed = F.array(*[F.lit(word) for word in words]).cast("array<string>")
-        keywords = F.when(F.col(name_column) == occupation, listed).otherwise(keywords)
-    return dictionary.withColumn("rule_keywords", keywords)
+    rules_map = F.from_json(F.lit(json.dumps(occupations)), "map<string,array<string>>")
+    return dictionary.withColumn("rule_keywords", F.try_element_at(rules_map, F.col(name_column)))
 
 
 def fingerprint(dictionary: DataFrame, model_name: str) -> str:

@@ -10,25 +10,23 @@ SALTS = 32
 _SALT = "__salt"
 
 
-def _value_bytes(column: Column, data_type: T.DataType) -> Column:
+def _value_bytes(name: str, data_type: T.DataType) -> str:
+    column = "`" + name.replace("`", "``") + "`"
     if isinstance(data_type, (T.StringType, T.BinaryType)):
-        size = F.octet_length(column)
+        size = f"octet_length({column})"
     elif isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.NumericType):
-        size = F.size(column) * 8
+        size = f"size({column}) * 8"
     elif isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
-        size = F.octet_length(F.to_json(column))
+        size = f"octet_length(to_json({column}))"
     else:
-        size = F.lit(8)
-    return F.coalesce(size.cast("long"), F.lit(0).cast("long")) + 8
+        size = "8"
+    return f"coalesce(bigint({size}), 0) + 8"
 
 
 def measure(df: DataFrame, *more: Column) -> tuple:
     """Row count, approximate bytes in memory and more aggregates, in one job."""
-    row_bytes = sum(
-        (_value_bytes(F.col(f"`{field.name}`"), field.dataType) for field in df.schema.fields),
-        F.lit(0).cast("long"),
-    )
-    total = F.coalesce(F.sum(row_bytes), F.lit(0))
+    per_row = " + ".join(_value_bytes(field.name, field.dataType) for field in df.schema.fields)
+    total = F.expr(f"coalesce(sum({per_row}), 0)")
     return tuple(df.agg(F.count(F.lit(1)), total, *more).first())
 
 

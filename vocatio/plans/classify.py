@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from vocatio import fixed_values as fixed
 from vocatio.functions import models, text as rules
@@ -13,7 +13,7 @@ from vocatio.operators.clean import ORDER_COLUMNS, clean_postings
 from vocatio.operators.crosswalk import CODE_COLUMN, add_crosswalk
 from vocatio.operators.match import MatchSettings, match
 from vocatio.operators.standardize import standardize, standardize_by_rule
-from vocatio.sources.datasets import read_dataset, write_dataset, write_final, years_in
+from vocatio.sources.datasets import read_if_present, write_dataset, write_final, years_in
 
 STAGES = ("clean", "standardize", "match", "crosswalk")
 
@@ -103,5 +103,7 @@ def classify(
                 write_final(df, path)
             else:
                 write_dataset(df, path)
-            df = read_dataset(spark, path, years)
+            # A stage without rows leaves no files to read back.
+            stored = read_if_present(spark, path)
+            df = df.limit(0) if stored is None else stored.where(F.col("year").isin(years))
     return df
