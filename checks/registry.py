@@ -541,6 +541,16 @@ def ingest_and_refresh(spark, sf_dir):
     return datasets.read_dataset(spark, out).drop(*clean.ORDER_COLUMNS)
 
 
+@registered(sql.with_ctes(sql.match_ctes(min_score=0.5), "SELECT * FROM matched"))
+def match_resumable(spark, sf_dir):
+    """Matching in micro-batches of stored files, each committed on its own."""
+    inbox, out, state = (fresh_folder(spark, name) for name in ("inbox", "out", "state"))
+    datasets.write_dataset(views.jobs(spark, sf_dir), inbox, rebalance=False)
+    entries = _dictionary(spark, sf_dir)
+    arrivals.run_resumable(spark, inbox, out, state, lambda df: match(df, entries, NEAR), 5)
+    return datasets.read_dataset(spark, out)
+
+
 @registered(sql.with_ctes(sql.CLEANING, "SELECT * FROM clean WHERE year > '2019'"))
 def skip_finished_years(spark, sf_dir):
     """The first five years are already stored, the others remain to be done."""

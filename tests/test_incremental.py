@@ -1,6 +1,7 @@
 """Arrival of files, the end-to-end job and standardization."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,45 @@ def test_dedup_on_arrival_remembers_earlier_batches(spark, folder):
     assert [(y, i) for y, i, _ in arrive(later) if i] == [("2020", "a"), ("2020", "hot"), ("2021", "a")]
 
 
+def test_a_model_stage_resumes_after_a_failure(spark, folder):
+    asked = spark.sparkContext.accumulator(0)
+
+    def stage(broken):
+        def factory():
+            def generate(prompts):
+                if broken and any("second" in p for p in prompts):
+                    raise RuntimeError("model lost")
+                asked.add(len(prompts))
+                return [p.upper() for p in prompts]
+
+            return generate
+
+        return lambda df: standardize.standardize(df, factory, "")
+
+    def store(text, year):
+        rows = [(f"{text} {n}", year) for n in range(5)]
+        df = spark.createDataFrame(rows, "position_responsibilities string, year string")
+        df.coalesce(1).write.mode("append").partitionBy("year").parquet(f"{folder}/in")
+        time.sleep(1.1)  # files are taken in order of their modification time
+
+    def run(broken=False):
+        arrivals.run_resumable(
+            spark, f"{folder}/in", f"{folder}/out", f"{folder}/state", stage(broken), 1
+        )
+        return read_dataset(spark, f"{folder}/out").count()
+
+    store("first", "2020")
+    store("second", "2021")
+    with pytest.raises(Exception, match="model lost"):
+        run(broken=True)
+    assert asked.value == 5
+    assert run() == 10 and asked.value == 10
+    store("third", "2021")
+    assert run() == 15 and asked.value == 15
+    found = read_dataset(spark, f"{folder}/out").where("standardized_job_description like 'THIRD%'")
+    assert [r["year"] for r in found.select("year").distinct().collect()] == ["2021"]
+
+
 # --- standardization ----------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ Streams run with ``availableNow``: they take what has arrived, then end.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -85,6 +85,31 @@ def start_append(
     )
 
 
+def run_resumable(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    stage: Callable[[DataFrame], DataFrame],
+    max_files_per_trigger: int = 64,
+) -> None:
+    """Run a row-wise stage over a stored dataset so that it can be resumed.
+
+    Meant for the model stages, ``standardize`` and ``match``, whose answers
+    are too dear to lose. Every micro-batch of files is committed with its
+    answers; a run that died continues with the first uncommitted files, and
+    files added to ``source`` later are taken by the next run. ``source`` must
+    only ever gain files.
+    """
+    schema = read_dataset(spark, source).schema
+    stream = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .parquet(source)
+    )
+    start_append(stage(stream), target, checkpoint).awaitTermination()
+
+
 def distinct_on_arrival(
     stream: DataFrame,
     min_effective_len: int = fixed.MIN_EFFECTIVE_LEN,
