@@ -13,7 +13,7 @@ from vocatio.operators.clean import clean_postings
 from vocatio.operators.match import MatchSettings
 from vocatio.plans import analytics
 from vocatio.plans.classify import STAGES, Job, chosen_stages, classify
-from vocatio.sources.datasets import read_dataset
+from vocatio.sources.datasets import read_dataset, write_final
 from vocatio.sources.postings import read_postings
 from vocatio.streaming import arrivals
 
@@ -247,3 +247,17 @@ def test_reports(spark):
     sample = analytics.review_sample(final, "onet_title", 3, "s").collect()
     assert sample == analytics.review_sample(final.repartition(4), "onet_title", 3, "s").collect()
     assert rows(analytics.first_rows(final, ("year", "level1", "onet_code"), 1)) == [final.first()]
+
+
+def test_reports_prune_the_stored_dataset(spark, folder):
+    final = spark.createDataFrame(
+        [("2020", "1", "15-1", "T", "x"), ("2021", "1", "15-2", "U", "x")],
+        "year string, level1_code string, onet_code string, onet_title string, unused string",
+    )
+    write_final(final, folder)
+    stored = analytics.of_year(read_dataset(spark, folder), "2021")
+    trend = analytics.occupation_trend(stored, "15-")
+    assert [tuple(r) for r in trend.collect()] == [("2021", "U", 1)]
+    plan = trend._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(onet_code,15-)" in plan
+    assert "(year#" in plan[plan.index("PartitionFilters") :] and "unused" not in plan
