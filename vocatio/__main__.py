@@ -1,6 +1,6 @@
 """Command line: ``classify`` runs the stages, ``merge`` compacts the result.
 
-    spark-submit --py-files ... -m vocatio classify --raw DIR --store DIR ...
+    python -m vocatio classify --raw DIR --store DIR ...
     python -m vocatio merge --store DIR --out DIR --years 2020 2021
 
 Models are named ``module:factory``; a factory takes no arguments and returns
