@@ -4,8 +4,8 @@ from __future__ import annotations
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x20\x09-\x0D]+')"
-SHINGLES = """CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i+4], ' '))
-    WHEN len(words) > 0 THEN [array_to_string(words, ' ') || ' (' || len(words) || ' words)'] ELSE [] END"""
+SHINGLES = """CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: hash(array_to_string(words[i:i+4], ' ')))
+    WHEN len(words) > 0 THEN [hash(array_to_string(words, ' ') || ' (' || len(words) || ' words)')] ELSE [] END"""
 
 NEAR_DUPLICATES = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS words FROM documents),
@@ -43,13 +43,13 @@ SELECT source, lang, 'words-2' AS tokenizer, count(*) AS docs,
 FROM documents WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)
 GROUP BY source, lang"""
 
-BASE32 = """array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+BASE32 = """array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
     16 * CAST(bits[5*i+1] AS INT) + 8 * CAST(bits[5*i+2] AS INT) + 4 * CAST(bits[5*i+3] AS INT)
     + 2 * CAST(bits[5*i+4] AS INT) + CAST(bits[5*i+5] AS INT) AS INT), 1)), '')"""
 WARC = f"""
 WITH p AS (SELECT page_id, row_number() OVER () AS r, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, r, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS sha FROM p),
-b AS (SELECT *, array_to_string(list_transform(range(1, 41), j -> substr(
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda j: substr(
         '0000000100100011010001010110011110001001101010111100110111101111',
         4 * (strpos('0123456789abcdef', substr(sha, j, 1)) - 1) + 1, 4)), '') AS bits,
         min(page_id) OVER (PARTITION BY sha) AS first FROM h)
