@@ -114,11 +114,7 @@ def quantised(logs: np.ndarray) -> np.ndarray:
     return np.clip(np.rint((logs - LEAST) / STEP), 0, 65535).astype(np.uint16)
 
 
-def restored(codes: np.ndarray) -> np.ndarray:
-    return codes * STEP + LEAST
-
-
-CONTEXT_BITS = 40
+CONTEXT_BITS = 32
 
 
 class BigramTrie:
@@ -141,12 +137,12 @@ class BigramTrie:
     def find_words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.words.successor(words)
 
-    def word_logs(self, places: np.ndarray) -> np.ndarray:
-        return restored(self.unigrams[places])
+    def word_codes(self, places: np.ndarray) -> np.ndarray:
+        return self.unigrams[places].astype(np.int64)
 
     def find_pairs(self, places: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each (word place, context) among the pairs, and whether it is there."""
         return self.relative.successor((places.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | contexts)
 
-    def pair_logs(self, places: np.ndarray) -> np.ndarray:
-        return restored(self.bigrams[places])
+    def pair_codes(self, places: np.ndarray) -> np.ndarray:
+        return self.bigrams[places].astype(np.int64)

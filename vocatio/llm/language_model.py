@@ -18,15 +18,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from vocatio.llm.elias_fano import CONTEXT_BITS, BigramTrie
+from vocatio.llm.elias_fano import CONTEXT_BITS, STEP, BigramTrie, quantised
 from vocatio.llm.tables import id_remainder, stored
 from vocatio.llm.words import document_words, mix
 
 MASS = 1000.0
 END = np.uint64(0x9AE16A3B2F90404F)  # the closing token
 START = np.uint64(0xC3A5C85C97CB3127)  # the context of a first word
-GROUP_TOKENS = 400_000
+GROUP_TOKENS = 800_000
 BLOCK_TOKENS = 2_000_000
+FIXED = 1 << 32  # base scores are summed in whole numbers of this fraction
 
 
 def _blocks_of(batches, columns: list[str]):
@@ -94,8 +95,7 @@ def _sent(words: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> bytes:
         [
             words[at_word].tobytes(),
             _packed(np.bincount(pair_word, minlength=len(at_word))),
-            (low & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(),
-            (low >> np.uint64(32)).astype(np.uint8).tobytes(),
+            low.astype("<u4").tobytes(),
             _packed(np.diff(np.append(at_pair, len(words)))),
             _packed(docs),
         ]
@@ -103,9 +103,9 @@ def _sent(words: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> bytes:
 
 
 def _received(data) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    words, per_word, low, high, per_pair, docs = _split(data)
+    words, per_word, contexts, per_pair, docs = _split(data)
     words = np.frombuffer(words, np.uint64)
-    contexts = np.frombuffer(low, "<u4").astype(np.uint64) | (np.frombuffer(high, np.uint8).astype(np.uint64) << np.uint64(32))
+    contexts = np.frombuffer(contexts, "<u4").astype(np.uint64)
     per_pair = _unpacked(per_pair).astype(np.int64)
     of_pair = np.repeat(words, _unpacked(per_word).astype(np.int64))
     return np.repeat(of_pair, per_pair), np.repeat(contexts, per_pair), _unpacked(docs).astype(np.int64)
@@ -137,10 +137,11 @@ def _dealt(groups: int, hot: np.ndarray):
             context = before & np.uint64((1 << CONTEXT_BITS) - 1)
             order = np.argsort(group, kind="stable")
             found, at = np.unique(group[order], return_index=True)
-            id_bytes = pa.ipc.new_stream  # ids travel as an Arrow stream, nulls and all
+            # Ids and sizes travel once, as an Arrow stream, nulls and all.
+            listed = pa.RecordBatch.from_arrays([ids, pa.array(sizes)], names=["doc_id", "n_tokens"])
             sink = pa.BufferOutputStream()
-            with id_bytes(sink, pa.schema([("doc_id", ids.type)])) as out:
-                out.write_batch(pa.RecordBatch.from_arrays([ids], names=["doc_id"]))
+            with pa.ipc.new_stream(sink, listed.schema) as out:
+                out.write_batch(listed)
             flags = np.packbits(train.to_numpy(zero_copy_only=False)).tobytes()
             own = found[block % len(found)]
             for k, rows in zip(found, np.split(order, at[1:])):
@@ -200,35 +201,34 @@ def _group_sums(rows: list[dict], total: int, distinct: int, hot: np.ndarray, ho
         np.log10(pair_counts[known_pair] + prior[pair_word[known_pair]]),
     )
 
-    # Score: every distinct word and pair is looked up once.
+    # Score: every distinct word and pair is looked up once. Codes are whole numbers, so are their sums.
+    alone = np.full(len(unique_words), int(quantised(np.log10(MASS / size))))
+    below = np.full(len(unique_words), int(quantised(np.log10(MASS))))
     place, there = trie.find_words(unique_words)
-    at = np.where(there, place, 0)
-    if seen.any():
-        logs = trie.word_logs(np.stack([2 * at, 2 * at + 1], axis=1))
-    else:
-        logs = np.zeros((len(unique_words), 2))
-    alone = np.where(there, logs[:, 0], math.log10(MASS / size))
-    below = np.where(there, logs[:, 1], math.log10(MASS))
-    below[unique_words == END] = 0.0  # nothing follows it
+    alone[there], below[there] = trie.word_codes(2 * place[there]), trie.word_codes(2 * place[there] + 1)
+    below[unique_words == END] = int(quantised(np.zeros(())))  # nothing follows it: the logarithm of one
     found = alone[pair_word]
     ask = np.flatnonzero(there[pair_word])
     if len(ask) and known_pair.any():
         pair_place, pair_there = trie.find_pairs(place[pair_word[ask]], pair_context[ask])
-        found[ask[pair_there]] = trie.pair_logs(pair_place[pair_there])
-    base = np.log10((counts + 1) / size)
-    sums = np.stack(
-        [
-            np.bincount(docs, weights=(found - below[pair_word])[pair_no], minlength=base_doc),
-            np.bincount(docs, weights=base[word_no], minlength=base_doc),
-            np.bincount(docs, weights=seen[word_no], minlength=base_doc),
-            np.bincount(docs, minlength=base_doc),
-        ]
-    )
+        found[ask[pair_there]] = trie.pair_codes(pair_place[pair_there])
+    base = np.rint(np.log10(counts + 1) * FIXED)
+    total_of = lambda values: np.bincount(docs, weights=values, minlength=base_doc).astype(np.int64)
+    sums = np.stack([total_of((found - below[pair_word])[pair_no]), total_of(base[word_no]), total_of(seen[word_no])])
+    held = np.bincount(docs, minlength=base_doc) > 0
     at = 0
     for row in rows:
-        part = sums[:, at : at + row["docs"]]
+        own = np.flatnonzero(held[at : at + row["docs"]])
+        part = sums[:, at + own]
         at += row["docs"]
-        data = _join([part[:2].astype("<f8").tobytes(), _packed(part[2].astype(np.int64)), _packed(part[3].astype(np.int64))])
+        bitmap = np.zeros(row["docs"], bool)
+        bitmap[own] = True
+        as_bits, as_list = np.packbits(bitmap).tobytes(), _packed(own)
+        least = int(part[0].min(initial=0))
+        data = _join(
+            [b"b" + as_bits if len(as_bits) < len(as_list) else b"l" + as_list, least.to_bytes(8, "little", signed=True),
+             _packed(part[0] - least), (part[1] & 0xFFFFFFFF).astype("<u4").tobytes(), _packed(part[1] >> 32), _packed(part[2])]
+        )
         yield {"block": row["block"], "docs": row["docs"], "ids": row["ids"], "sums": data}
 
 
@@ -248,15 +248,19 @@ def _grouped(total: int, distinct: int, hot: np.ndarray, hot_counts: np.ndarray)
     return run
 
 
-def _document_sums(opening: float, total: int):
+def _document_sums(opening: float, total: int, distinct: int):
     """Adds up what the groups sent for each block of documents."""
+    size = total + distinct + 1
 
     def finished(ids, sums):
         with pa.ipc.open_stream(ids) as stream:
-            column = stream.read_all().column("doc_id").combine_chunks()
+            listed = stream.read_all().combine_chunks()
+        n = listed.column("n_tokens").to_numpy()
+        column = listed.column("doc_id")
+        column = column.chunk(0) if column.num_chunks else pa.array([], column.type)
         return pa.RecordBatch.from_arrays(
-            [column, pa.array(sums[3].astype(np.int64)), pa.array(sums[2].astype(np.int64)),
-             pa.array(np.full(sums.shape[1], total, np.int64)), pa.array(sums[1]), pa.array(sums[0] - opening)],
+            [column, pa.array(n), pa.array(sums[2]), pa.array(np.full(len(n), total, np.int64)),
+             pa.array(sums[1] / FIXED - n * math.log10(size)), pa.array(sums[0] * STEP - opening)],
             names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
@@ -268,11 +272,15 @@ def _document_sums(opening: float, total: int):
                 if row["block"] != block:
                     if block is not None:
                         yield finished(ids, sums)
-                    block, ids, sums = row["block"], None, np.zeros((4, row["docs"]))
-                logs, known, tokens = _split(row["sums"])
-                sums[:2] += np.frombuffer(logs, "<f8").reshape(2, -1)
-                sums[2] += _unpacked(known)
-                sums[3] += _unpacked(tokens)
+                    block, ids, sums = row["block"], None, np.zeros((3, row["docs"]), np.int64)
+                own, least, score, low, high, known = _split(row["sums"])
+                if own[:1] == b"b":
+                    own = np.flatnonzero(np.unpackbits(np.frombuffer(own[1:], np.uint8), count=row["docs"]))
+                else:
+                    own = _unpacked(own[1:])
+                sums[0, own] += _unpacked(score).astype(np.int64) + int.from_bytes(least, "little", signed=True)
+                sums[1, own] += np.frombuffer(low, "<u4").astype(np.int64) + (_unpacked(high).astype(np.int64) << 32)
+                sums[2, own] += _unpacked(known).astype(np.int64)
                 ids = row["ids"] if row["ids"] is not None else ids
         if block is not None:
             yield finished(ids, sums)
@@ -312,7 +320,7 @@ def learn_and_score(docs: DataFrame, train) -> DataFrame:
         .repartition(partitions, "group_no").sortWithinPartitions("group_no", "block")
         .mapInArrow(_grouped(total, distinct, hot, hot_counts), _PART)
         .repartition(partitions, "block").sortWithinPartitions("block")
-        .mapInArrow(_document_sums(opening, total), scores)
+        .mapInArrow(_document_sums(opening, total, distinct), scores)
     )
 
 
