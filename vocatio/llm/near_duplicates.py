@@ -14,6 +14,8 @@ left out, and a group of thousands of copies costs a few comparisons per copy.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -23,9 +25,10 @@ from vocatio.llm.tables import stored
 from vocatio.llm.words import column_bytes, document_words, mix
 
 SHINGLE_WORDS = 5
-SKETCHES = 6  # per collection: 36 tables
+SKETCHES = 7  # per collection: 49 tables
 HASHES = 2  # minimum hashes per sketch
 LEADERS = 8  # growth of the leaders per key from round to round
+BITS = 128  # of a coarse signature that candidates are compared by first
 
 _ODD = np.random.default_rng(20240229).integers(0, 1 << 63, (64, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -50,7 +53,7 @@ def _sketch(batches):
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
             full = np.flatnonzero(sizes)
             keys: list = [None] * len(sets)
-            sketches = np.zeros((len(sets), 2 * SKETCHES), np.uint64)
+            sketches = np.zeros((len(sets), 2 * SKETCHES + BITS // 64), np.uint64)
             if len(full):
                 values = np.concatenate([sets[i] for i in full])
                 starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
@@ -61,12 +64,20 @@ def _sketch(batches):
                         least = np.minimum.reduceat((values ^ by[1]) * by[0], starts)
                         sketch = mix(sketch * np.uint64(31) + least + np.uint64(k + 1))
                     sketches[full, k] = sketch
+                # Sets are sorted, so the least hash of a bin (by its first 7 bits) comes first.
+                bins = (values >> np.uint64(57)).astype(np.int64)
+                lead = np.append(True, bins[1:] != bins[:-1])
+                lead[starts] = True
+                bits = np.zeros((len(full), BITS), np.uint8)
+                of_set = np.repeat(np.arange(len(full)), sizes[full])
+                bits[of_set[lead], bins[lead]] = (values[lead] & np.uint64(1)).astype(np.uint8)
+                sketches[full, 2 * SKETCHES :] = np.packbits(bits, axis=1).view(np.uint64)
                 one = np.add.reduceat(mix(values), starts)
                 two = np.add.reduceat(mix(values ^ _ODD[63, 1]), starts)
                 for at, a, b in zip(full, one, two):
                     keys[at] = a.tobytes() + b.tobytes()
             flat = pa.array(sketches.view(np.int64).ravel())
-            bounds = pa.array(np.arange(0, len(flat) + 1, 2 * SKETCHES, dtype=np.int32))
+            bounds = pa.array(np.arange(0, len(flat) + 1, sketches.shape[1], dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sizes), pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(bounds, flat)],
@@ -140,7 +151,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # Equal sets are one node, named by the smallest document.
     classes = stored(
         rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
-        .groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("sketches").alias("sketches")),
+        .groupBy("set_key").agg(
+            F.min("doc_id").alias("node"), F.first("sketches").alias("sketches"), F.first("n_shingles").alias("n")
+        ),
         "classes",
     )
     tables = F.array(
@@ -153,23 +166,34 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     keyed = classes.select("node", F.explode(tables).alias("key"))
     crowded = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
     members = stored(keyed.join(crowded.select("key"), "key"), "members")
-    nodes = stored(members.select("node").distinct(), "nodes")
-    texts = docs.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
+    coarse = [F.col("sketches")[2 * SKETCHES + k].alias(f"s{k}") for k in (0, 1)]
+    nodes = stored(
+        classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", *coarse), "nodes"
+    )
+    texts = docs.withColumnRenamed("doc_id", "node").join(nodes.select("node"), "node", "left_semi")
     sets = stored(texts.mapInArrow(_sets, "node long, shingles binary").distinct(), "sets")
 
     labels = nodes.withColumn("component", F.col("node"))
+    differ = (1 - percent / 100) / 2
+    most = math.ceil(BITS * differ + 4 * math.sqrt(BITS * differ * (1 - differ)))
+    near = (
+        f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n) "
+        f"AND bit_count(s0 ^ l0) + bit_count(s1 ^ l1) <= {most}"
+    )
     links = None
     led, leading = 0, 1
     while True:
-        live = members.join(labels, "node")
+        live = members.join(labels, "node")  # key, node, n, s0, s1, component
         open_keys = live.join(_apart(live, led).select("key"), "key") if led else live
         rank = F.row_number().over(W.partitionBy("key").orderBy("node"))
         leaders = (
-            members.withColumn("rank", rank).filter(f"rank <= {leading}").filter(f"rank > {led}")
-            .join(labels, "node").select("key", F.col("node").alias("leader"), F.col("component").alias("leads"))
+            open_keys.withColumn("rank", rank).filter(f"rank <= {leading}").filter(f"rank > {led}").select(
+                "key", F.col("node").alias("leader"), F.col("component").alias("leads"),
+                F.col("n").alias("leader_n"), F.col("s0").alias("l0"), F.col("s1").alias("l1"),
+            )
         )
         pairs = (
-            open_keys.join(leaders, "key").filter("component <> leads")
+            open_keys.join(leaders, "key").filter("component <> leads").filter(near)
             .select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
         )
         found = stored(_verified(pairs, sets, percent), "found")
@@ -179,14 +203,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             links = parts.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
             labels = stored(
                 nodes.join(parts, "node", "left")
-                .select("node", F.coalesce("component", "node").alias("component")),
+                .withColumn("component", F.coalesce("component", "node")),
                 "labels",
             )
         led, leading = leading, leading * LEADERS
         if not _apart(members.join(labels, "node"), led).take(1):
             break
 
-    found = classes.select("set_key", "node").join(labels, "node", "left")
+    found = classes.select("set_key", "node").join(labels.select("node", "component"), "node", "left")
     found = found.groupBy("set_key").agg(F.min(F.coalesce("component", "node")).alias("component"))
     named = rows.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(
