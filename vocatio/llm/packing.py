@@ -7,7 +7,6 @@ bucket, so that no sequence crosses documents and none needs padding.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -16,42 +15,81 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from vocatio.llm.tables import once_per_worker
 
-KNOWN_WORDS = 200_000  # words whose ids a worker remembers; more cost time only
+KNOWN_WORDS = 300_000  # words whose ids a worker remembers, twice over; more cost time only
 
-# Texts without these can be cut before every blank: a blank between two other
-# characters always opens a new pre-token of the byte-level vocabulary.
-_ODD_BLANKS = re.compile(r"^ | $|\s | \s")
+_MARKS = "!#$%&*+,./:;=?@~"
 
 
 class WordIds:
-    """Ids of whole texts as little-endian 32-bit bytes, remembered by word."""
+    """Ids of whole texts as little-endian 32-bit bytes, remembered by word.
+
+    A blank or line end between two other characters always opens a new pre-token of the byte-level
+    vocabulary, so a text may be cut before it. Texts with other white space, or several in a row,
+    are encoded whole. Words in use outlive those that are not: a full memory becomes the older one.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # A special token between words keeps them apart within one string.
+        self.joined = Tokenizer.from_file(path)
+        special = [(i, t.content) for i, t in self.joined.get_added_tokens_decoder().items() if t.special]
+        self.mark_id, self.mark = special[0]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        mark = self.mark
+        groups = [words[k : k + 512] for k in range(0, len(words), 512)]
+        found = self.joined.encode_batch_fast([mark.join(group) for group in groups], add_special_tokens=False)
+        cut = []
+        for group, encoded in zip(groups, found):
+            ids = np.array(encoded.ids, "<u4")
+            data, at = ids.tobytes(), np.flatnonzero(ids == self.mark_id)
+            if len(at) != len(group) - 1:  # a word holds the mark itself
+                cut += map(self.whole, group)
+                continue
+            starts = [0, *(4 * at + 4).tolist()]
+            ends = [*(4 * at).tolist(), len(data)]
+            cut += [data[a:b] for a, b in zip(starts, ends)]
+        return cut
+
+    def learn(self, words: set[str]) -> None:
+        """Make the ids of these words known."""
+        new = []
+        for word in words.difference(self.known):
+            if (ids := self.older.get(word)) is not None:
+                self.known[word] = ids
+            else:
+                new.append(word)
+        self.known.update(zip(new, self.encode(new)))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = []
         for text in texts:
-            if _ODD_BLANKS.search(text):
+            if "\0" in text or text.replace("\n", " ").split(" ") != text.split():
                 cut.append([text])
             else:
-                head, *rest = text.split(" ")
-                cut.append([head, *(" " + word for word in rest)])
-        new = list({word for words in cut for word in words if word not in self.known})
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list({word for words in cut for word in words})
-        self.known.update(zip(new, self.encode(new)))
-        known = self.known.__getitem__
-        return [b"".join(map(known, words)) for words in cut]
+                cut.append(text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0"))
+        if len(self.known) > KNOWN_WORDS:
+            self.known, self.older = {}, self.known
+        known = self.known
+        new = set().union(*cut).difference(known)
+        # Marks after a letter or digit at the end of a word are a pre-token of their own.
+        ending = {}
+        for word in new:
+            core = word.rstrip(_MARKS)
+            if core is not word and core and core[-1].isalnum():
+                ending[word] = core
+        self.learn({*new.difference(ending), *ending.values(), *(w[len(c) :] for w, c in ending.items())})
+        for word, core in ending.items():
+            known[word] = known[core] + known[word[len(core) :]]
+        return [b"".join(map(known.__getitem__, words)) for words in cut]
 
 
 def cuts(n: int, longest: int) -> list[tuple[int, int]]:
