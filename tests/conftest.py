@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="vocatio-shared-"))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -279,6 +279,12 @@ def test_reranker_gets_pairs_in_small_calls(spark, max_block_bytes):
     assert [r[0] for r in df.select(column).collect()] == [[13.0, 11.0, 15.0], None, [], [40.0, 0.0]]
 
 
+def test_a_missing_answer_is_an_error(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "t string").coalesce(1)
+    with pytest.raises(Exception, match="1 answers to 2 prompts"):
+        df.select(models.generated(F.col("t"), lambda: lambda prompts: prompts[:1])).collect()
+
+
 def test_embedding_is_normalized(spark):
     df = spark.createDataFrame([("aab",), (None,), ("!",)], "t string")
     rows = df.select(models.embedded(F.col("t"), lambda: models.letter_profile())).collect()
@@ -309,6 +315,10 @@ def test_vector_cache_is_reused_until_content_or_model_changes(spark, occupation
     edited = plain.withColumn("occupation_text", F.concat("occupation_text", F.lit("!")))
     assert vectors_of(edited) == 3 and calls.value == 6
     assert vectors_of(plain, "other") == 3 and calls.value == 9
+    recoded = plain.withColumn("Level1_Code", F.lit("9"))
+    found = dictionaries.cached_dictionary(recoded, factory, folder, "m")
+    assert {r["Level1_Code"] for r in found.collect()} == {"9"} and calls.value == 9
+    assert found.columns == [*plain.columns, "embedding"]
 
 
 def test_default_rules_are_attached(spark, occupations):

@@ -41,7 +41,7 @@ def test_cells_of_all_kinds(spark, folder):
         ).encode()
         + b"g,bad \xff byte,w\n",
     )
-    df = postings.read_postings(spark, f"{folder}/*.csv")
+    df = postings.read_postings(spark, f"{folder}/*.csv", bad_rows="skip")
     assert df.columns == [*HEADER.strip().split(","), "year", "ord_file", "ord_block", "ord_pos"]
     assert texts(df) == [
         ("a", 'line one\nline "two", end', "x"),
@@ -53,7 +53,16 @@ def test_cells_of_all_kinds(spark, folder):
     ]
     assert {r["year"] for r in df.collect()} == {"2021"}
     with pytest.raises(Exception, match="too many cells"):
-        postings.read_postings(spark, f"{folder}/*.csv", bad_rows="fail").count()
+        postings.read_postings(spark, f"{folder}/*.csv").count()
+    skipped = postings.skipped_counts(spark, f"{folder}/*.csv").collect()
+    assert [tuple(row) for row in skipped] == [("2021", 1)]
+
+
+def test_an_empty_file_is_an_error(spark, folder):
+    put(folder, "p_2020.csv", HEADER + "a,t,x\n")
+    put(folder, "p_2021.csv", "")
+    with pytest.raises(ValueError, match="empty"):
+        postings.read_postings(spark, f"{folder}/*.csv")
 
 
 def test_split_files_keep_their_order(spark, folder):
@@ -88,7 +97,7 @@ def test_missing_input_and_header(spark, folder):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         postings.read_postings(spark, f"{folder}/none/*.csv")
     put(folder, "empty_2020.csv", "")
-    with pytest.raises(FileNotFoundError, match="no postings"):
+    with pytest.raises(ValueError, match="empty"):
         postings.read_postings(spark, folder)
     blank = put(folder, "blank_2020.csv", "\n")
     with pytest.raises(ValueError, match="no header"):

@@ -36,6 +36,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--raw", help="folder of the yearly postings files")
     run.add_argument("--store", required=True, help="folder of the stored stages")
     run.add_argument("--years", nargs="*", help="years to treat; all by default")
+    run.add_argument("--bad-rows", choices=("fail", "skip"), default="fail", help="rows with too many cells")
+    run.add_argument("--single-line", action="store_true", help="cells hold no line breaks: files can be split")
     run.add_argument("--start-from", choices=STAGES, default="clean")
     run.add_argument("--only", choices=STAGES)
     run.add_argument("--skip-finished", action="store_true")
@@ -75,7 +77,12 @@ def _input(
 ) -> DataFrame:
     if stages[0] == "clean":
         paths = [postings.input_path(args.raw, year) for year in years]
-        return postings.read_postings(spark, paths)
+        if args.bad_rows == "skip":
+            for row in postings.skipped_counts(spark, paths, multi_line=not args.single_line).collect():
+                print(f"{row['year']}: {row['skipped']} rows with too many cells skipped")
+        return postings.read_postings(
+            spark, paths, bad_rows=args.bad_rows, multi_line=not args.single_line
+        )
     return datasets.read_dataset(spark, _input_root(args, stages), years)
 
 

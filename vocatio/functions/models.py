@@ -1,7 +1,7 @@
 """Adapters that run a model over Arrow batches.
 
 A model is a parameter. The caller passes a *factory*: it is called once per
-Python worker and returns a function over one batch. Rows that must not reach
+task and returns a function over one batch. Rows that must not reach
 the model are passed as null: a Python UDF inside ``when`` would still be
 evaluated for every row, a null input is skipped by the adapter itself.
 """
@@ -36,7 +36,11 @@ def generated(prompt: Column, factory: Callable[[], Generate]) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         generate = factory()
         for prompts in batches:
-            answers = iter(generate(prompts.drop_null().to_pylist()))
+            asked = prompts.drop_null().to_pylist()
+            found = list(generate(asked))
+            if len(found) != len(asked):
+                raise ValueError(f"the model gave {len(found)} answers to {len(asked)} prompts")
+            answers = iter(found)
             yield pa.array(
                 [next(answers) if valid else None for valid in prompts.is_valid().to_pylist()],
                 pa.string(),
@@ -74,12 +78,13 @@ def _rerank_block(texts_by_index, factory: Callable[[], Rerank], pairs_per_call:
             lists = candidates.drop_null()
             lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             scores = running.drop_null().flatten().to_numpy(zero_copy_only=False).copy()
-            owners = queries.take(pa.array(np.repeat(asked, lengths))).to_pylist()
+            # Every text once, however many candidates it has.
+            texts, owners = queries.to_pylist(), np.repeat(asked, lengths).tolist()
             wanted = lists.flatten().to_pylist()
             here = [i for i, index in enumerate(wanted) if index in offered]
             for start in range(0, len(here), pairs_per_call):
                 part = here[start : start + pairs_per_call]
-                scores[part] = rerank([(owners[i], offered[wanted[i]]) for i in part])
+                scores[part] = rerank([(texts[owners[i]], offered[wanted[i]]) for i in part])
             yield list_column(len(queries), asked, lengths, pa.array(scores))
 
     return run

@@ -48,7 +48,7 @@ def fingerprint(dictionary: DataFrame, model_name: str) -> str:
     found = dictionary.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.bit_xor(content), F.lit(0)).alias("x"),
-        F.coalesce(F.sum(F.shiftright(content, 20)), F.lit(0)).alias("s"),
+        F.coalesce(F.sum(F.shiftright(content, 20).cast("decimal(38,0)")), F.lit(0)).alias("s"),
     ).select(F.sha2(F.concat_ws("|", F.lit(model_name), "n", "x", "s"), 256).alias("key"))
     return found.first()["key"]
 
@@ -67,17 +67,21 @@ def cached_dictionary(
     cache_path: str,
     model_name: str,
 ) -> DataFrame:
-    """Dictionary with vectors, computed once per model and content.
+    """Dictionary with vectors, computed once per model and embedded text.
 
-    The vectors are a Parquet table named by the fingerprint. A table exists
-    only after its write was committed, so a lost job leaves nothing to trust.
+    Only index and vector are stored, in a Parquet table named by the
+    fingerprint; all other columns come from the given dictionary, so corrected
+    codes are seen at once. A table exists only after its write was committed,
+    so a lost job leaves nothing to trust.
     """
     spark = dictionary.sparkSession
     path = f"{cache_path.rstrip('/')}/{fingerprint(dictionary, model_name)}"
     try:
-        return spark.read.parquet(path)
+        vectors = spark.read.parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    embedded_dictionary(dictionary, factory).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        made = embedded_dictionary(dictionary, factory).select("occ_idx", "embedding")
+        made.write.mode("overwrite").parquet(path)
+        vectors = spark.read.parquet(path)
+    return dictionary.join(vectors, "occ_idx").select(*dictionary.columns, "embedding")

@@ -33,9 +33,16 @@ def input_path(folder: str, year: str | int, template: str = fixed.RAW_FILE_TEMP
 
 
 def list_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
-    """Files behind paths or globs, sorted; listed without reading content."""
-    listed = spark.read.format("binaryFile").load(paths).select("path")
-    return sorted(row["path"] for row in listed.collect())
+    """Files behind paths or globs, sorted; listed without reading content.
+
+    A file without a byte has no header: it is an error, not left out.
+    """
+    listed = spark.read.format("binaryFile").load(paths)
+    found = sorted(row["path"] for row in listed.select("path").collect())
+    empty = len(listed.inputFiles()) - len(found)
+    if empty:
+        raise ValueError(f"{empty} of the files at {paths} are empty and have no header")
+    return found
 
 
 def years_of_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
@@ -90,16 +97,36 @@ def position_columns(year_from: str = "file") -> list[Column]:
 def read_postings(
     spark: SparkSession,
     paths: str | list[str],
-    bad_rows: str = "skip",
+    bad_rows: str = "fail",
     year_from: str = "file",
     multi_line: bool = True,
 ) -> DataFrame:
     """All cells as text, plus ``year`` and the order columns.
 
     ``ord_pos`` orders the rows of a block. Files with different headers are
-    read separately and united by column name. Rows with too many cells are
-    skipped, or fail the job. Files without a byte are not listed.
+    read separately and united by column name. Rows with too many cells fail the
+    job, or are skipped if asked for; ``skipped_counts`` tells how many. Files
+    without a byte are an error.
     """
+    parts = [check_row_lengths(rows, bad_rows) for rows in _parts(spark, paths, year_from, multi_line)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def skipped_counts(
+    spark: SparkSession, paths: str | list[str], year_from: str = "file", multi_line: bool = True
+) -> DataFrame:
+    """Rows with too many cells per year: those that ``bad_rows="skip"`` leaves out."""
+    parts = [
+        rows.select("year", F.col(OVERFLOW).isNotNull().cast("long").alias("bad"))
+        for rows in _parts(spark, paths, year_from, multi_line)
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy("year").agg(F.sum("bad").alias("skipped"))
+
+
+def _parts(
+    spark: SparkSession, paths: str | list[str], year_from: str, multi_line: bool
+) -> list[DataFrame]:
+    """The rows of the files of each header, with the cells beyond the header."""
     files = list_files(spark, paths)
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(lambda path: tuple(header_of(spark, path)), files))
@@ -115,10 +142,10 @@ def read_postings(
                 F.monotonically_increasing_id().alias("ord_pos"),
             )
         )
-        parts.append(check_row_lengths(rows, bad_rows))
+        parts.append(rows)
     if not parts:
         raise FileNotFoundError(f"no postings files at {paths}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return parts
 
 
 def read_reference_table(spark: SparkSession, path: str, casts: dict[str, str] | None = None) -> DataFrame:

@@ -55,7 +55,7 @@ def stream_postings(
     columns: list[str],
     max_files_per_trigger: int = 8,
     year_from: str = "file",
-    bad_rows: str = "skip",
+    bad_rows: str = "fail",
 ) -> DataFrame:
     """Postings files as they arrive, with year and order columns."""
     rows = (
