@@ -8,8 +8,12 @@ share a key are candidates; a link needs the exact similarity of the full sets.
 Candidates are not all pairs of a key. A key's smallest members are compared with
 the others first; links merge components, and only members of components that are
 still apart go on, against eight times as many leaders each round, until every key
-is one component or all its members have led. So no link between different sets is
-left out, and a group of thousands of copies costs a few comparisons per copy.
+is one component or all its members have led. No pair of a key is left out unseen: a
+pair goes on to its full sets when their sizes allow the similarity and their coarse
+signatures, one bit of the least hash in each of 128 bins, differ by no more than four
+deviations beyond what the threshold makes likely. A group of linked copies costs a few
+comparisons per copy; what stays just below the similarity to a large group is compared
+with all of it.
 """
 
 from __future__ import annotations
