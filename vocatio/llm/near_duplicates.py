@@ -12,8 +12,12 @@ is one component or all its members have led. No pair of a key is left out unsee
 pair goes on to its full sets when their sizes allow the similarity and their coarse
 signatures, one bit of the least hash in each of 128 bins, differ by no more than four
 deviations beyond what the threshold makes likely. A group of linked copies costs a few
-comparisons per copy; what stays just below the similarity to a large group is compared
-with all of it.
+comparisons per copy.
+
+A second signature proves most other pairs apart without their sets: the parity of the
+shingles that fall in each of 256 bins. Bins of unequal parity are at most as many as the
+shingles that only one of the sets has, so a pair with more of them than the similarity
+allows is no link, and leaving it out loses none.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from vocatio.llm.components import star_components
-from vocatio.llm.tables import stored
+from vocatio.llm.tables import bucketed, stored
 from vocatio.llm.words import column_bytes, document_words, mix
 
 SHINGLE_WORDS = 5
@@ -33,6 +37,8 @@ SKETCHES = 7  # per collection: 49 tables
 HASHES = 2  # minimum hashes per sketch
 LEADERS = 8  # growth of the leaders per key from round to round
 BITS = 128  # of a coarse signature that candidates are compared by first
+PARITIES = 256  # bits of the signature that bounds what two sets do not share
+SIGNATURE = (BITS + PARITIES) // 64
 
 _ODD = np.random.default_rng(20240229).integers(0, 1 << 63, (64, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -57,7 +63,7 @@ def _sketch(batches):
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
             full = np.flatnonzero(sizes)
             keys: list = [None] * len(sets)
-            sketches = np.zeros((len(sets), 2 * SKETCHES + BITS // 64), np.uint64)
+            sketches = np.zeros((len(sets), 2 * SKETCHES + SIGNATURE), np.uint64)
             if len(full):
                 values = np.concatenate([sets[i] for i in full])
                 starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
@@ -75,6 +81,9 @@ def _sketch(batches):
                 bits = np.zeros((len(full), BITS), np.uint8)
                 of_set = np.repeat(np.arange(len(full)), sizes[full])
                 bits[of_set[lead], bins[lead]] = (values[lead] & np.uint64(1)).astype(np.uint8)
+                places = of_set * PARITIES + ((values >> np.uint64(1)) % np.uint64(PARITIES)).astype(np.int64)
+                odd = (np.bincount(places, minlength=len(full) * PARITIES) & 1).astype(np.uint8)
+                bits = np.concatenate([bits, odd.reshape(len(full), PARITIES)], axis=1)
                 sketches[full, 2 * SKETCHES :] = np.packbits(bits, axis=1).view(np.uint64)
                 one = np.add.reduceat(mix(values), starts)
                 two = np.add.reduceat(mix(values ^ _ODD[63, 1]), starts)
@@ -123,9 +132,18 @@ def _similar(percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("left_set"))
-    right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("right_set"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "left_set", "right_set").mapInArrow(
+    """The pairs (u, v) that are links.
+
+    The sets lie in buckets by node and stay there; only those of pairs travel. A node of many
+    pairs meets its partners in as many parts as there are shuffle partitions.
+    """
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(parts)))
+    left = pairs.select("u", "part").distinct().join(
+        sets.select(F.col("node").alias("u"), F.col("shingles").alias("left_set")), "u"
+    )
+    right = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("right_set")), "v")
+    return right.join(left, ["u", "part"]).select("u", "v", "left_set", "right_set").mapInArrow(
         _similar(percent), "u long, v long"
     )
 
@@ -170,49 +188,54 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     keyed = classes.select("node", F.explode(tables).alias("key"))
     crowded = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
     members = stored(keyed.join(crowded.select("key"), "key"), "members")
-    coarse = [F.col("sketches")[2 * SKETCHES + k].alias(f"s{k}") for k in (0, 1)]
+    signature = [F.col("sketches")[2 * SKETCHES + k].alias(f"s{k}") for k in range(SIGNATURE)]
     nodes = stored(
-        classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", *coarse), "nodes"
+        classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", *signature), "nodes"
     )
-    texts = docs.withColumnRenamed("doc_id", "node").join(nodes.select("node"), "node", "left_semi")
-    sets = stored(texts.mapInArrow(_sets, "node long, shingles binary").distinct(), "sets")
+    texts = docs.withColumnRenamed("doc_id", "node").join(nodes.select("node"), "node", "left_semi").distinct()
+    sets = bucketed(texts.mapInArrow(_sets, "node long, shingles binary"), "sets", "node")
 
-    labels = nodes.withColumn("component", F.col("node"))
     differ = (1 - percent / 100) / 2
     most = math.ceil(BITS * differ + 4 * math.sqrt(BITS * differ * (1 - differ)))
+    unequal = [f"bit_count(s{k} ^ l{k})" for k in range(SIGNATURE)]
     near = (
         f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n) "
-        f"AND bit_count(s0 ^ l0) + bit_count(s1 ^ l1) <= {most}"
+        f"AND {' + '.join(unequal[: BITS // 64])} <= {most} "
+        f"AND {100 + percent} * ({' + '.join(unequal[BITS // 64 :])}) <= {100 - percent} * (n + leader_n)"
     )
+    labels = nodes.select("node", F.col("node").alias("component"))
     links = None
     led, leading = 0, 1
+    live = members.join(nodes.withColumn("component", F.col("node")), "node")
     while True:
-        live = members.join(labels, "node")  # key, node, n, s0, s1, component
-        open_keys = live.join(_apart(live, led).select("key"), "key") if led else live
+        live = stored(live, "live")  # key, node, n, signature, component: of keys that are not done
         rank = F.row_number().over(W.partitionBy("key").orderBy("node"))
         leaders = (
-            open_keys.withColumn("rank", rank).filter(f"rank <= {leading}").filter(f"rank > {led}").select(
+            live.withColumn("rank", rank).filter(f"rank <= {leading}").filter(f"rank > {led}").select(
                 "key", F.col("node").alias("leader"), F.col("component").alias("leads"),
-                F.col("n").alias("leader_n"), F.col("s0").alias("l0"), F.col("s1").alias("l1"),
+                F.col("n").alias("leader_n"), *(F.col(f"s{k}").alias(f"l{k}") for k in range(SIGNATURE)),
             )
         )
         pairs = (
-            open_keys.join(leaders, "key").filter("component <> leads").filter(near)
+            live.join(leaders, "key").filter("component <> leads").filter(near)
             .select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
         )
-        found = stored(_verified(pairs, sets, percent), "found")
+        found = stored(_verified(stored(pairs, "pairs"), sets, percent), "found")
         if found.take(1):
             links = found if links is None else links.unionByName(found)
             parts = stored(star_components(links), "components")
             links = parts.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
             labels = stored(
-                nodes.join(parts, "node", "left")
+                nodes.select("node").join(parts, "node", "left")
                 .withColumn("component", F.coalesce("component", "node")),
                 "labels",
             )
+            live = live.drop("component").join(labels, "node")
         led, leading = leading, leading * LEADERS
-        if not _apart(members.join(labels, "node"), led).take(1):
+        apart = stored(_apart(live, led).select("key"), "apart")
+        if not apart.take(1):
             break
+        live = live.join(apart, "key")
 
     found = classes.select("set_key", "node").join(labels.select("node", "component"), "node", "left")
     found = found.groupBy("set_key").agg(F.min(F.coalesce("component", "node")).alias("component"))

@@ -22,6 +22,16 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def bucketed(frame: DataFrame, purpose: str, column: str) -> DataFrame:
+    """The frame as a table in the shared folder, in buckets by a column: joins on it leave the table in place."""
+    spark = frame.sparkSession
+    path = fresh_folder(spark, purpose)
+    name = "scratch_" + "".join(c if c.isalnum() else "_" for c in path.rstrip("/").rsplit("/", 1)[-1])
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frame.write.bucketBy(buckets, column).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def once_per_worker(key, build):
     """What ``build`` makes, made once in this Python worker.
 
