@@ -39,6 +39,7 @@ LEADERS = 8  # growth of the leaders per key from round to round
 BITS = 128  # of a coarse signature that candidates are compared by first
 PARITIES = 256  # bits of the signature that bounds what two sets do not share
 SIGNATURE = (BITS + PARITIES) // 64
+MOST_BROADCAST = 4_000_000  # document numbers, 32 MB; with more of them, texts are shuffled to theirs
 
 _ODD = np.random.default_rng(20240229).integers(0, 1 << 63, (64, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -192,7 +193,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     nodes = stored(
         classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", *signature), "nodes"
     )
-    texts = docs.withColumnRenamed("doc_id", "node").join(nodes.select("node"), "node", "left_semi").distinct()
+    wanted = nodes.select("node").distinct()
+    if nodes.count() <= MOST_BROADCAST:
+        wanted = F.broadcast(wanted)  # texts that no candidate needs do not travel
+    texts = docs.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi").distinct()
     sets = bucketed(texts.mapInArrow(_sets, "node long, shingles binary"), "sets", "node")
 
     differ = (1 - percent / 100) / 2
