@@ -163,6 +163,22 @@ def test_near_duplicates_are_the_components_of_all_links(spark, odd, empty):
     assert near_duplicates.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_just_below_the_similarity(spark, monkeypatch):
+    """Copies of one text with a few or many edits, texts shuffled to the candidates' numbers."""
+    monkeypatch.setattr(near_duplicates, "MOST_BROADCAST", 0)
+    random = np.random.default_rng(11)
+    base = [f"t{k}" for k in range(150)]
+    rows = []
+    for i in range(120):
+        copy = list(base)
+        for at in random.integers(150, size=1 + i % 6):
+            copy[at] = f"e{i}-{at}"
+        rows.append((1000 - i, " ".join(copy)))
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = components(rows, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
+
+
 # --- 3 ------------------------------------------------------------------------
 
 
