@@ -541,6 +541,23 @@ def ingest_and_refresh(spark, sf_dir):
     return datasets.read_dataset(spark, out).drop(*clean.ORDER_COLUMNS)
 
 
+@registered(sql.with_ctes(sql.CLEANING, TEXT_POSTINGS + "clean"))
+def late_arrivals(spark, sf_dir):
+    """Conversation turns arrive for years that were cleaned with documents only."""
+    inbox, raw, state, out = (
+        fresh_folder(spark, name) for name in ("inbox", "raw", "state", "out")
+    )
+    passes = views.document_postings(spark, sf_dir), views.turn_postings(spark, sf_dir)
+    for number, arriving in enumerate(passes):
+        ordered = arriving.repartitionByRange("year", "ord").sortWithinPartitions("year", "ord")
+        datasets.write_csv(ordered, f"{inbox}/{number}")
+        columns = [name for name in arriving.columns if name != "year"]
+        stream = arrivals.stream_postings(spark, inbox, columns, 8, year_from="folder")
+        arrivals.start_append(stream, raw, state).awaitTermination()
+        arrivals.refresh_years(spark, raw, out)
+    return datasets.read_dataset(spark, out).drop(*clean.ORDER_COLUMNS)
+
+
 @registered(sql.with_ctes(sql.match_ctes(min_score=0.5), "SELECT * FROM matched"))
 def match_resumable(spark, sf_dir):
     """Matching in micro-batches of stored files, each committed on its own."""
@@ -564,25 +581,26 @@ def skip_finished_years(spark, sf_dir):
     sql.with_ctes(
         {
             "entries": sql.PART_OCCUPATIONS,
-            "texts": f"""SELECT CAST(occ_idx AS INTEGER) AS occ_idx,
+            "texts": f"""SELECT 'edited ' || Level4_Code AS Level4_Code, CAST(occ_idx AS INTEGER) AS occ_idx,
                            {sql.joined_text('Level4_Name', 'main_task')} AS occupation_text
                          FROM entries""",
             **sql.profile_ctes("profiled", "texts", "occupation_text"),
         },
-        """SELECT occ_idx, occupation_text, CAST(i - 1 AS INTEGER) AS dim, round(v[i], 6) AS value
+        """SELECT occ_idx, Level4_Code, occupation_text, CAST(i - 1 AS INTEGER) AS dim, round(v[i], 6) AS value
            FROM (SELECT *, unnest(range(1, 27)) AS i FROM profiled)""",
     )
 )
 def vector_cache_refresh(spark, sf_dir):
-    """The second call finds the vectors of the first one."""
+    """Later calls find the vectors of the first one, and the codes of their own sheet."""
     cache = fresh_folder(spark, "cache")
     entries = dictionary.prepare_dictionary(views.part_occupations(spark, sf_dir))
-    for _ in range(2):
+    edited = entries.withColumn("Level4_Code", F.concat(F.lit("edited "), "Level4_Code"))
+    for sheet in (entries, entries, edited):
         cached = dictionary.cached_dictionary(
-            entries, lambda: models.letter_profile(), cache, "letters"
+            sheet, lambda: models.letter_profile(), cache, "letters"
         )
     return cached.select(
-        "occ_idx", "occupation_text", F.posexplode("embedding").alias("dim", "value")
+        "occ_idx", "Level4_Code", "occupation_text", F.posexplode("embedding").alias("dim", "value")
     ).withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 

@@ -33,14 +33,19 @@ def test_from_raw_files_to_merged_years(spark, folder, capsys):
     )
     detail = put(f"{folder}/d.csv", "O*NET-SOC Code,Description,All_Tasks\n15-1.00,D,K\n")
     common = ["--store", f"{folder}/store", "--raw", f"{folder}/raw", "--occupations", occupations]
-    common += ["--mapping", mapping, "--detail", detail]
+    common += ["--mapping", mapping, "--detail", detail, "--dry-run"]
     command.main(["classify", *common, "--years", "2020"])
     final = read_dataset(spark, f"{folder}/store/crosswalk")
     assert [(r["year"], r["rec_id"], r["onet_description"]) for r in final.collect()] == [
         ("2020", "a", "D")
     ]
+    counted = read_dataset(spark, f"{folder}/store/clean_counts").collect()
+    assert [(r["year"], r["total"]) for r in counted] == [("2020", 3)]
+    counted = read_dataset(spark, f"{folder}/store/standardize_counts").collect()
+    assert [(r["year"], r["processed"]) for r in counted] == [("2020", 1)]
     command.main(["classify", *common, "--skip-finished"])
     assert read_dataset(spark, f"{folder}/store/crosswalk").count() == 2
+    assert read_dataset(spark, f"{folder}/store/clean_counts").count() == 2
     command.main(["classify", *common, "--skip-finished"])
     assert "nothing to do" in capsys.readouterr().out
     command.main(["classify", *common, "--only", "crosswalk"])
@@ -51,6 +56,14 @@ def test_from_raw_files_to_merged_years(spark, folder, capsys):
     assert spark.read.parquet(f"{folder}/out/2020_final.parquet").count() == 1
 
 
+def test_models_are_asked_for_unless_it_is_a_dry_run(capsys):
+    with pytest.raises(SystemExit):
+        command.parse(["classify", "--store", "x", "--embed", "m:e"])
+    assert "--generate is needed" in capsys.readouterr().err
+    chosen = command.parse(["classify", "--store", "x", "--only", "match", "--embed", "m:e", "--top-k", "3"])
+    assert (chosen.top_k, chosen.min_embed_score) == (3, command.MatchSettings().min_embed_score)
+
+
 def test_unknown_stage_is_refused():
     with pytest.raises(SystemExit):
         command.parse(["classify", "--store", "x", "--only", "nothing"])

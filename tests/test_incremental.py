@@ -69,6 +69,13 @@ def test_refreshed_years_equal_the_batch_result(spark, folder):
     assert arrivals.refresh_years(spark, f"{folder}/raw", out) == []
     assert arrivals.refresh_years(spark, f"{folder}/raw", out, redo=True) == ["2020", "2021"]
     assert read_dataset(spark, out).where("year = '2021'").count() == 1
+    # A finished year that receives more rows is cleaned again, as a whole.
+    put(f"{folder}/in", "p_2021_b.csv", [("a", LONG + "7"), ("z", LONG + "8")])
+    ingest(spark, folder)
+    assert arrivals.refresh_years(spark, f"{folder}/raw", out) == ["2021"]
+    late = read_dataset(spark, out).where("year = '2021'")
+    assert ids(late) == [("2021", "a", "9"), ("2021", "z", "8")]
+    assert arrivals.refresh_years(spark, f"{folder}/raw", out) == []
 
 
 def test_dedup_on_arrival_remembers_earlier_batches(spark, folder):

@@ -1,6 +1,9 @@
 # -*- coding: utf-8 -*-
 """Vector search and the decision tree, leaf by leaf."""
 
+import os
+import uuid
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -250,7 +253,7 @@ def test_absent_text_column_matches_nothing(spark, occupations):
 # --- adapters -----------------------------------------------------------------
 
 
-def test_generator_skips_nulls_and_is_built_once_per_task(spark):
+def test_generator_skips_nulls_and_is_built_once_per_worker(spark):
     built = spark.sparkContext.accumulator(0)
 
     def factory():
@@ -261,6 +264,15 @@ def test_generator_skips_nulls_and_is_built_once_per_task(spark):
     assert [r[0] for r in df.select(models.generated(F.col("t"), factory)).collect()] == ["A", None, "B"]
     assert built.value == 1
 
+    def named_factory():
+        name = f"{os.getpid()} {uuid.uuid4().hex}"
+        return lambda prompts: [name for _ in prompts]
+
+    many = spark.range(200).repartition(200).select(F.col("id").cast("string").alias("t"))
+    named = many.select(models.generated(F.col("t"), named_factory).alias("g"))
+    names = {r["g"] for r in named.collect()} | {r["g"] for r in named.collect()}
+    assert len(names) == len({name.split()[0] for name in names}) < 200
+
 
 @pytest.mark.parametrize("max_block_bytes", [vectors.MAX_BLOCK_BYTES, 60])
 def test_reranker_gets_pairs_in_small_calls(spark, max_block_bytes):

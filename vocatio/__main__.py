@@ -11,16 +11,30 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vocatio.operators.crosswalk import join_report
+from vocatio import fixed_values as fixed
+from vocatio.operators.clean import clean_counts
+from vocatio.operators.crosswalk import CODE_COLUMN, join_report
 from vocatio.operators.dictionary import cached_dictionary, prepare_dictionary
-from vocatio.operators.match import match_counts
+from vocatio.operators.match import MatchSettings, match_counts
 from vocatio.operators.quality import reconcile
+from vocatio.operators.standardize import standardize_counts
 from vocatio.plans.classify import STAGES, Job, chosen_stages, classify
 from vocatio.sources import datasets, postings
 
+STAND_IN_EMBED = "vocatio.functions.models:letter_profile"
+SETTINGS = (
+    "top_k",
+    "min_embed_score",
+    "rerank_score_threshold",
+    "rerank_min_embed_score",
+    "rule_bypass_score",
+)
+
 
 def factory(name: str | None):
     if name is None:
@@ -44,14 +58,30 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--occupations", help="dictionary sheet as CSV")
     run.add_argument("--mapping", help="crosswalk CSV")
     run.add_argument("--detail", help="CSV with descriptions; none if absent")
-    run.add_argument("--generate", help="text model; the rule-based stand-in if absent")
-    run.add_argument("--embed", default="vocatio.functions.models:letter_profile")
+    run.add_argument("--generate", help="text model")
+    run.add_argument("--prompt-prefix", help="text before a posting; the built-in prompt if absent")
+    run.add_argument("--prompt-suffix", default="", help="text after a posting")
+    run.add_argument("--embed", help="embedding model")
     run.add_argument("--rerank", help="reranking model; no reranking if absent")
+    run.add_argument("--dry-run", action="store_true", help="stand-ins in place of models not given")
+    run.add_argument("--min-effective-len", type=int, default=fixed.MIN_EFFECTIVE_LEN)
+    for name in SETTINGS:
+        default = getattr(MatchSettings(), name)
+        run.add_argument(f"--{name.replace('_', '-')}", type=type(default), default=default)
+    run.add_argument("--rules", help="JSON file: words per suspicious occupation")
+    run.add_argument("--code-column", default=CODE_COLUMN)
+    run.add_argument("--best-only", action="store_true", help="one crosswalk partner per code")
     merge = commands.add_parser("merge")
     merge.add_argument("--store", required=True)
     merge.add_argument("--out", required=True)
     merge.add_argument("--years", nargs="*")
-    return parser.parse_args(arguments)
+    args = parser.parse_args(arguments)
+    if args.command == "classify" and not args.dry_run:
+        stages = chosen_stages(args.start_from, args.only)
+        for stage, name in (("standardize", "generate"), ("match", "embed")):
+            if stage in stages and getattr(args, name) is None:
+                parser.error(f"--{name} is needed, or --dry-run for a stand-in")
+    return args
 
 
 def _years(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...]) -> list[str]:
@@ -88,10 +118,16 @@ def _input(
 
 def _job(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...]) -> Job:
     dictionary = mapping = detail = None
-    embed = factory(args.embed)
+    model = args.embed or STAND_IN_EMBED
+    embed = factory(model)
+    settings = replace(MatchSettings(), **{name: getattr(args, name) for name in SETTINGS})
+    if args.rules:
+        with open(args.rules, encoding="utf-8") as rules:
+            settings = replace(settings, suspicious_occupations=json.load(rules))
+    prompt = {} if args.prompt_prefix is None else {"prompt_prefix": args.prompt_prefix}
     if "match" in stages:
         entries = prepare_dictionary(postings.read_occupations(spark, args.occupations))
-        dictionary = cached_dictionary(entries, embed, f"{args.store}/vectors", args.embed)
+        dictionary = cached_dictionary(entries, embed, f"{args.store}/vectors", model)
     if "crosswalk" in stages:
         mapping = postings.read_mapping(spark, args.mapping)
         detail = postings.read_reference_table(spark, args.detail) if args.detail else None
@@ -102,6 +138,12 @@ def _job(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...])
         generate=factory(args.generate),
         embed=embed,
         rerank=factory(args.rerank),
+        prompt_suffix=args.prompt_suffix,
+        settings=settings,
+        min_effective_len=args.min_effective_len,
+        code_column=args.code_column,
+        best_only=args.best_only,
+        **prompt,
     )
 
 
@@ -114,6 +156,13 @@ def _classify(spark: SparkSession, args: argparse.Namespace) -> None:
     job = _job(spark, args, stages)
     source = _input(spark, args, stages, years)
     classify(source, job, args.start_from, args.only, args.store, years)
+    if "clean" in stages:
+        datasets.write_counts(clean_counts(source, job.min_effective_len), f"{args.store}/clean_counts")
+        datasets.read_dataset(spark, f"{args.store}/clean_counts").orderBy("year").show()
+    if "standardize" in stages:
+        done = datasets.read_dataset(spark, f"{args.store}/standardize", years)
+        datasets.write_counts(standardize_counts(done), f"{args.store}/standardize_counts")
+        datasets.read_dataset(spark, f"{args.store}/standardize_counts").orderBy("year").show()
     for before, after in zip(stages, stages[1:]):
         print(f"rows from {before} to {after}")
         reconcile(
@@ -124,7 +173,7 @@ def _classify(spark: SparkSession, args: argparse.Namespace) -> None:
         matched = datasets.read_dataset(spark, f"{args.store}/match")
         match_counts(matched).orderBy("year").show()
         if "crosswalk" in stages:
-            join_report(matched, job.mapping).show()
+            join_report(matched, job.mapping, job.code_column).show()
 
 
 def _merge(spark: SparkSession, args: argparse.Namespace) -> None:

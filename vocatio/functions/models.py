@@ -1,7 +1,8 @@
 """Adapters that run a model over Arrow batches.
 
 A model is a parameter. The caller passes a *factory*: it is called once per
-task and returns a function over one batch. Rows that must not reach
+Python worker and stage, and returns a function over one batch; later tasks of
+the worker find the model (``spark.python.worker.reuse``). Rows that must not reach
 the model are passed as null: a Python UDF inside ``when`` would still be
 evaluated for every row, a null input is skipped by the adapter itself.
 """
@@ -9,6 +10,9 @@ evaluated for every row, a null input is skipped by the adapter itself.
 from __future__ import annotations
 
 import math
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -29,12 +33,30 @@ Rerank = Callable[[list[tuple[str, str]]], Sequence[float]]
 PAIRS_PER_CALL = 256
 
 
+_HELD = "vocatio_held_models"
+
+
+def _held(kind: str, key: str, factory: Callable[[], Callable]) -> Callable:
+    """The model that this worker built for ``key``; a former one of its kind is let go.
+
+    This package travels to workers by value, so a global of it would be new in
+    every task. A module of the worker's own outlives them.
+    """
+    models = sys.modules.setdefault(_HELD, types.ModuleType(_HELD)).__dict__
+    if models.get(kind, ("", None))[0] != key:
+        models.pop(kind, None)
+        models[kind] = (key, factory())
+    return models[kind][1]
+
+
 def generated(prompt: Column, factory: Callable[[], Generate]) -> Column:
     """Generated text per prompt; null prompts are not sent and give null."""
 
+    key = uuid.uuid4().hex
+
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        generate = factory()
+        generate = _held("generate", key, factory)
         for prompts in batches:
             asked = prompts.drop_null().to_pylist()
             found = list(generate(asked))
@@ -52,9 +74,11 @@ def generated(prompt: Column, factory: Callable[[], Generate]) -> Column:
 def embedded(text: Column, factory: Callable[[], Embed]) -> Column:
     """L2-normalized vector per text; null texts are not sent and give null."""
 
+    key = uuid.uuid4().hex
+
     @F.arrow_udf("array<float>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        embed = factory()
+        embed = _held("embed", key, factory)
         for texts in batches:
             present = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False))
             vectors = np.empty((0, 0))
@@ -66,12 +90,12 @@ def embedded(text: Column, factory: Callable[[], Embed]) -> Column:
     return run(text)
 
 
-def _rerank_block(texts_by_index, factory: Callable[[], Rerank], pairs_per_call: int):
+def _rerank_block(texts_by_index, key: str, factory: Callable[[], Rerank], pairs_per_call: int):
     """An Arrow UDF that scores the candidates found in one block of texts."""
 
     @F.arrow_udf("array<double>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        rerank = factory()
+        rerank = _held("rerank", key, factory)
         offered = texts_by_index.value
         for queries, candidates, running in batches:
             asked = np.flatnonzero(candidates.is_valid().to_numpy(zero_copy_only=False))
@@ -108,10 +132,10 @@ def reranked(
     """
     context = dictionary.sparkSession.sparkContext
     texts = dictionary.select(F.col("occ_idx").cast("int"), "occupation_text")
-    scores = F.transform(candidates, lambda _: F.lit(0.0))
+    scores, key = F.transform(candidates, lambda _: F.lit(0.0)), uuid.uuid4().hex
     for table in bounded_blocks(texts, max_block_bytes):
         block = dict(zip(table["occ_idx"].to_pylist(), table["occupation_text"].to_pylist()))
-        run = _rerank_block(context.broadcast(block), factory, pairs_per_call)
+        run = _rerank_block(context.broadcast(block), key, factory, pairs_per_call)
         scores = run(text, candidates, scores)
     return scores
 

@@ -102,7 +102,8 @@ def classify(
             if stage == "crosswalk":
                 write_final(df, path)
             else:
-                write_dataset(df, path)
+                # Models work row by row on rows that are stored by year: no shuffle behind them.
+                write_dataset(df, path, rebalance=stage == "clean")
             # A stage without rows leaves no files to read back.
             stored = read_if_present(spark, path)
             df = df.limit(0) if stored is None else stored.where(F.col("year").isin(years))

@@ -18,7 +18,8 @@ from vocatio.functions import text as rules
 from vocatio.operators.clean import ORDER_COLUMNS, clean_postings
 from vocatio.sources.datasets import (
     read_dataset,
-    skip_finished_years,
+    read_if_present,
+    write_counts,
     write_dataset,
     years_in,
 )
@@ -143,16 +144,28 @@ def distinct_on_arrival(
 def refresh_years(
     spark: SparkSession, ingested: str, cleaned: str, redo: bool = False, **options
 ) -> list[str]:
-    """Clean the years of the ingested table that are new, in exact file order.
+    """Clean the years that are new or have grown, in exact file order.
 
-    A year is cleaned as a whole and replaces its own partition only. With
-    ``redo`` finished years are cleaned again. Returns the years treated.
+    A year is cleaned as a whole and replaces its own partition only. How many
+    rows a year had is stored beside the result, below ``<cleaned>_ingested``:
+    a year whose ingested rows are still as many, and which the result holds,
+    is finished. With ``redo`` finished years are cleaned again. A run lost
+    before the counts are stored repeats its years. Returns the years treated.
     """
     raw = read_dataset(spark, ingested)
+    counts_root = f"{cleaned.rstrip('/')}_ingested"
+    # One row per year; the count of a Parquet partition comes from file footers.
+    rows = dict(raw.groupBy("year").agg(F.count(F.lit(1))).collect())
+    finished = set()
     if not redo:
-        raw = skip_finished_years(raw, cleaned)
-    years = years_in(raw)
+        done, counts = read_if_present(spark, cleaned), read_if_present(spark, counts_root)
+        if done is not None and counts is not None:
+            stored = dict(counts.select("year", "ingested").collect())
+            finished = {year for year in years_in(done) if stored.get(year) == rows.get(year)}
+    years = sorted(set(rows) - finished)
     if years:
         wanted = raw.where(F.col("year").isin(years))
         write_dataset(clean_postings(wanted, **options), cleaned)
+        taken = [(year, rows[year]) for year in years]
+        write_counts(spark.createDataFrame(taken, "year string, ingested long"), counts_root)
     return years
