@@ -503,26 +503,23 @@ def csv_roundtrip(spark, sf_dir):
 # --- incremental arrival ------------------------------------------------------
 
 
-@registered(
-    sql.with_ctes(
-        sql.CLEANING,
-        """SELECT DISTINCT year, rec_id, position_responsibilities FROM clean
-           WHERE rec_id IN (SELECT md5(text) FROM documents)""",
-    )
-)
+@registered(sql.with_ctes(sql.CLEANING, "SELECT * FROM clean"))
 def incremental_clean(spark, sf_dir):
-    """Documents arrive in several files and micro-batches; copies are equal."""
+    """Documents and first turns arrive in several micro-batches, then all later turns."""
     inbox, out, state = (fresh_folder(spark, name) for name in ("inbox", "out", "state"))
-    arriving = views.document_postings(spark, sf_dir).select(
-        "year", "rec_id", "position_responsibilities", "ord"
-    )
-    arriving.repartition("ord").write.parquet(inbox)
-    stream = (
-        spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 4).parquet(inbox)
-    )
-    kept = arrivals.distinct_on_arrival(stream, order_columns=ORDER).drop("ord")
-    arrivals.start_append(kept, out, state).awaitTermination()
-    return datasets.read_dataset(spark, out)
+    posted, turns = views.document_postings(spark, sf_dir), views.turn_postings(spark, sf_dir)
+    passes = (
+        datasets.union_aligned(posted, turns.where("ord < 2")),
+        datasets.align_to_schema(turns.where("ord >= 2"), posted.schema),
+    )
+    for arriving in passes:
+        # Copies share a file: the order of files within one pass is not defined.
+        arriving.repartition(8, "rec_id").write.mode("append").parquet(inbox)
+        stream = (
+            spark.readStream.schema(posted.schema).option("maxFilesPerTrigger", 4).parquet(inbox)
+        )
+        arrivals.start_clean(stream, out, state, order_by=ORDER).awaitTermination()
+    return datasets.read_dataset(spark, out).drop("batch")
 
 
 @registered(sql.with_ctes(sql.CLEANING, TEXT_POSTINGS + "clean"))

@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vocatio import fixed_values as fixed
 from vocatio.functions import text as rules
-from vocatio.operators.clean import ORDER_COLUMNS, clean_postings
+from vocatio.operators.clean import ORDER_COLUMNS, clean_postings, first_per_id
 from vocatio.sources.datasets import (
     read_dataset,
     read_if_present,
@@ -111,33 +112,51 @@ def run_resumable(
     start_append(stage(stream), target, checkpoint).awaitTermination()
 
 
-def distinct_on_arrival(
+def start_clean(
     stream: DataFrame,
+    output: str,
+    checkpoint: str,
     min_effective_len: int = fixed.MIN_EFFECTIVE_LEN,
+    order_by: tuple[str, ...] = ORDER_COLUMNS,
     id_column: str = fixed.ID_COLUMN,
     text_column: str = fixed.TEXT_COLUMN,
-    order_columns: tuple[str, ...] = ORDER_COLUMNS,
-    salts: int = 16,
-) -> DataFrame:
-    """Stateful dedup per (year, id), then the length filter.
+) -> StreamingQuery:
+    """Clean a stream as it arrives, into folders by micro-batch and year.
+
+    The first posting per (year, id) is kept: one of an earlier micro-batch
+    before a later one, and by ``order_by`` within a micro-batch. A short first
+    posting hides its later copies; null and blank ids are one group per year.
+    Files that arrive in order give the rows of ``clean_postings``.
 
-    A posting that arrived in an earlier micro-batch always wins. Among copies
-    inside one micro-batch any may win; use ``refresh_years`` where the file
-    order must decide. A first, salted dedup spreads a hot id over ``salts``
-    tasks, so that the second one sees at most ``salts`` of its rows per batch.
-    The state holds every id ever seen, as the rule demands.
+    The ids met so far lie below ``<output>_ids``, one folder per micro-batch;
+    each batch is joined to those of its years, one row per id on either side.
+    A batch that is repeated after a failure sees the ids of earlier batches
+    only and replaces its own folders, so its rows are written once.
     """
-    keyed = stream.withColumns(
-        {
-            "__id": F.coalesce(F.col(id_column), F.lit("")),
-            "__salt": F.pmod(F.xxhash64(*order_columns), F.lit(salts)),
-        }
-    )
+    ids_root = f"{output.rstrip('/')}_ids"
+
+    def take(batch: DataFrame, number: int) -> None:
+        key = F.coalesce(F.col(id_column), F.lit(""))
+        new = first_per_id(batch, order_by, id_column).withColumn("__id", key)
+        known = read_if_present(batch.sparkSession, ids_root)
+        if known is not None:
+            earlier = known.where(F.col("batch").cast("long") < number).alias("k")
+            same = F.col("n.year").eqNullSafe(F.col("k.year")) & (F.col("n.__id") == F.col("k.__id"))
+            new = new.alias("n").join(earlier, same, "left_anti")
+        new = new.persist(StorageLevel.DISK_ONLY)
+        long_enough = rules.has_effective_length(F.col(text_column), min_effective_len)
+        number_column = F.lit(str(number)).alias("batch")
+        kept = new.where(long_enough).drop("__id").select("*", number_column)
+        write_dataset(kept, output, ("batch", "year"))
+        # Last, as Spark drops what it kept of a plan once a folder the plan reads is written.
+        write_dataset(new.select("year", "__id", number_column), ids_root, ("batch", "year"))
+        new.unpersist()
+
     return (
-        keyed.dropDuplicates(["year", "__id", "__salt"])
-        .dropDuplicates(["year", "__id"])
-        .drop("__id", "__salt")
-        .where(rules.has_effective_length(F.col(text_column), min_effective_len))
+        stream.writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
