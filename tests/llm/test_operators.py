@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -463,3 +464,18 @@ def test_redaction_leaves_no_base_span(spark, docs, odd, empty):
             assert r == before[r["doc_id"]]
     same = secret_scan.redact(odd).collect()
     assert sorted(map(str, same)) == sorted(map(str, odd.collect()))
+
+
+def test_short_random_keys_among_many_words(spark):
+    draw = random.Random(3)
+    parts = "ung heit lich tion ment schaft ner que ado res ation ble ing the er ver keit re on ly".split()
+    terms = ["".join(draw.choices(parts, k=7)).capitalize() for _ in range(500)]
+    terms = [w for w in terms if len(w) >= 16] + ["InternationalBusinessMachines2020", "GitHubActionsRunner42"]
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(draw.choices(signs, k=n)) for n in (20, 32, 40) for _ in range(2)]
+    rows = [(i, f"see {w} there") for i, w in enumerate(terms + keys)]
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
+    spans = {r["doc_id"]: r["spans"] for r in found.collect() if r["spans"]}
+    assert spans == {len(terms) + i: f"random:4:{4 + len(key)}" for i, key in enumerate(keys)}
+    one = spark.createDataFrame([(1, f"see {terms[0]} there")] * 5 + [(2, "a")], "doc_id long, text string")
+    assert {r["spans"] for r in secret_scan.find_secrets(one).collect()} == {""}

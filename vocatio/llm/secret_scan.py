@@ -3,10 +3,11 @@
 Other long tokens are candidates. Each gets an inferred encoding and, under the
 hypothesis that its symbols are uniform, a chi-squared test of the alphabet, a
 runs test about the middle of the alphabet and a test of serial correlation. A
-candidate is random when none of them rejects (Bonferroni) and when it is far more
-even than text-like strings of its length are. The second p-value is weighted by
-length and held to a false-discovery rate over all candidates of the input
-(weighted Benjamini-Hochberg over a histogram).
+candidate is random when none of them rejects (Bonferroni) and when text-like strings
+are rarely like it: far less even, or of other letters. How often text-like strings
+have a letter is counted over the long words of the input. The second p-value is
+weighted by length and held to a false-discovery rate over all candidates of the
+input (weighted Benjamini-Hochberg over a histogram).
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ KINDS = ["assign", "access", "hex", "random"]
 LONG_ACCESS = r"AKIA[A-Z0-9]{16,}"
 LONG_HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
+# Candidates that are text for certain: words, alone or joined. Their letters are counted.
+WORDS = "^([A-Z]?[a-z]+|[A-Z]+)([/_-]([A-Z]?[a-z]+|[A-Z]+))*$"
 
 RATE = 0.01  # false-discovery rate of added spans
 REJECT = 0.001  # level of the uniformity battery
@@ -99,28 +102,47 @@ def _alphabet(token: str) -> str:
 
 
 def _tested(frame: DataFrame) -> DataFrame:
-    """Turns ``candidates`` into an array of (start, end, part, n, p_uniform, p_text)."""
+    """Turns ``candidates`` into an array of (start, end, part, n, p_uniform, p_even, k, classes).
+
+    ``classes`` is the logarithm of how much likelier the counts of digits, letters of each case and
+    marks are among uniform symbols of the alphabet than in any shares (all equally likely).
+    """
     step = lambda frame, body: frame.withColumn("candidates", F.expr(f"transform(candidates, c -> {body})"))
-    keep = "'start', c.start, 'end', c.end, 'part', c.part, 'n', char_length(c.part)"
+    keep = "'start', c.start, 'end', c.end, 'part', c.part"
     frame = step(frame, f"named_struct({keep}, 'alphabet', {_alphabet('c.part')})")
     frame = frame.withColumn("candidates", F.expr("filter(candidates, c -> c.alphabet IS NOT NULL)"))
-    keep = "'start', c.start, 'end', c.end, 'part', c.part, 'n', c.n"
+    logs = lambda n: f"aggregate(sequence(1, greatest(1, {n})), 0D, (a, i) -> a + ln(i))"
+    size = lambda text, symbols: f"char_length(regexp_replace({text}, '[^{symbols}]', ''))"
+    classes = [(size("c.alphabet", s), size("c.part", s)) for s in ("0-9", "a-z", "A-Z", "+/_-")]
+    others = f"({' + '.join(f'IF({all_of} > 0, 1, 0)' for all_of, _ in classes)} - 1)"
+    shares = " + ".join(
+        f"{own} * ln(greatest({all_of}, 1) / char_length(c.alphabet)) - {logs(own)}" for all_of, own in classes
+    )
+    frame = step(
+        frame,
+        f"named_struct({keep}, 'alphabet', c.alphabet, "
+        f"'classes', {logs(f'char_length(c.part) + {others}')} - {logs(others)} + {shares})",
+    )
+    keep = (
+        "'start', c.start, 'end', c.end, 'part', c.part, 'n', char_length(c.part), "
+        "'k', CAST(char_length(c.alphabet) AS double), 'classes', c.classes"
+    )
     squares = (
         "aggregate(sequence(1, char_length(c.alphabet)), 0D, (a, s) -> a + "
-        "pow(c.n - char_length(replace(c.part, substr(c.alphabet, s, 1), '')), 2))"
+        "pow(char_length(c.part) - char_length(replace(c.part, substr(c.alphabet, s, 1), '')), 2))"
     )
     half = "translate(c.part, c.alphabet, rpad(repeat('0', char_length(c.alphabet) DIV 2), char_length(c.alphabet), '1'))"
     places = "transform(split(c.part, ''), x -> CAST(instr(c.alphabet, x) AS double))"
     frame = step(
         frame,
-        f"named_struct({keep}, 'k', CAST(char_length(c.alphabet) AS double), 'squares', {squares}, "
-        f"'halves', {half}, 'places', {places})",
+        f"named_struct({keep}, 'squares', {squares}, 'halves', {half}, 'places', {places})",
     )
+    keep = "'start', c.start, 'end', c.end, 'part', c.part, 'n', c.n, 'k', c.k, 'classes', c.classes"
     sum_of = lambda array: f"aggregate({array}, 0D, (a, x) -> a + x)"
     mean = f"({sum_of('c.places')} / c.n)"
     frame = step(
         frame,
-        f"named_struct({keep}, 'k', c.k, 'chi', c.k / c.n * c.squares - c.n, "
+        f"named_struct({keep}, 'chi', c.k / c.n * c.squares - c.n, "
         "'repeats', (c.squares - c.n) / (CAST(c.n AS double) * (c.n - 1)), "
         "'runs', 1 + (c.n - char_length(replace(c.halves, '01', ''))) / 2 + (c.n - char_length(replace(c.halves, '10', ''))) / 2, "
         "'ones', CAST(char_length(replace(c.halves, '0', '')) AS double), "
@@ -128,7 +150,7 @@ def _tested(frame: DataFrame) -> DataFrame:
     )
     frame = step(
         frame,
-        f"named_struct({keep}, 'k', c.k, 'chi', c.chi, 'repeats', c.repeats, 'runs', c.runs, "
+        f"named_struct({keep}, 'chi', c.chi, 'repeats', c.repeats, 'runs', c.runs, "
         "'expected', 2 * c.ones * (c.n - c.ones) / c.n + 1, "
         "'lagged', aggregate(zip_with(slice(c.off, 1, c.n - 1), slice(c.off, 2, c.n - 1), (x, y) -> x * y), 0D, (a, x) -> a + x), "
         "'spread', aggregate(c.off, 0D, (a, x) -> a + x * x))",
@@ -146,10 +168,49 @@ def _tested(frame: DataFrame) -> DataFrame:
     return step(
         frame,
         f"named_struct({keep}, 'p_uniform', least(1D, 3 * least({_tail('c.z_chi')}, 2 * {_tail('c.z_runs')}, "
-        f"2 * {_tail('c.z_serial')})), 'p_text', {_tail('c.z_even')})",
+        f"2 * {_tail('c.z_serial')})), 'p_even', {_tail('c.z_even')})",
     )
 
 
+APART = " AND ".join(
+    f"NOT exists({kind}, s -> s.start < c.end AND c.start < s.end)" for kind in ("assign", "access", "hex")
+)
+
+
+def _unlike(words: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    """By letter, the logarithm of how much rarer it is in words than if all were equally likely.
+
+    For all letters and for those of hexadecimal numbers alone. Every distinct one of the array
+    ``words`` counts once, so that a word of a thousand copies does not stand for all text. 26 counts
+    reach the driver.
+    """
+    distinct = words.select(F.explode("words").alias("word")).distinct()
+    letters = distinct.select(F.explode(F.split("word", "")).alias("letter")).groupBy("letter").count()
+    counts = {row["letter"]: row["count"] for row in letters.filter("letter rlike '^[a-z]$'").collect()}
+
+    def among(alphabet: str) -> dict[str, float]:
+        all_of = sum(counts.get(x, 0) + 0.5 for x in alphabet)
+        return {x: math.log(all_of / (len(alphabet) * (counts.get(x, 0) + 0.5))) for x in alphabet}
+
+    return among(LOWER), among("abcdef")
+
+
+def _judged(frame: DataFrame, words: DataFrame) -> DataFrame:
+    """Adds p_text to ``candidates``: the smaller of two p-values, doubled.
+
+    One is that of evenness. The other holds the letters against those of ``words``: uniform symbols
+    over text-like ones is a ratio of likelihoods, which text reaches with a chance of one over it.
+    """
+    every, hexadecimal = (
+        "map(" + ", ".join(f"'{x}', {log!r}D" for x, log in found.items()) + ")" for found in _unlike(words)
+    )
+    log = f"IF(c.k = 16, element_at({hexadecimal}, x), element_at({every}, x))"
+    ratio = f"aggregate(split(lower(c.part), ''), c.classes, (a, x) -> a + coalesce({log}, 0D))"
+    p_text = f"least(1D, 2 * least(c.p_even, exp(-greatest(0D, {ratio}))))"
+    keep = "'start', c.start, 'end', c.end, 'part', c.part, 'n', c.n, 'p_uniform', c.p_uniform"
+    return frame.withColumn("candidates", F.expr(f"transform(candidates, c -> named_struct({keep}, 'p_text', {p_text}))"))
+
+
 WEIGHT = "least(c.n, 64)"  # longer candidates are likelier secrets
 
 
@@ -181,16 +242,16 @@ def _scanned(docs: DataFrame) -> DataFrame:
     frame = frame.withColumn("assign", F.expr(f"filter(assign, s -> char_length(s.part) >= {LEAST['assign']})"))
     frame = _found(frame, "text", LONG_ACCESS, "access")
     frame = _found(frame, "text", LONG_HEX, "hex")
-    return _tested(_found(frame, "text", CANDIDATE, "candidates"))
+    frame = _found(frame, "text", CANDIDATE, "candidates")
+    words = f"transform(filter(candidates, c -> c.part rlike '{WORDS}' AND {APART}), c -> lower(c.part))"
+    return _tested(frame.withColumn("words", F.expr(f"array_distinct({words})")))
 
 
-def _decided(frame: DataFrame, held: DataFrame | None = None) -> DataFrame:
+def _decided(frame: DataFrame) -> DataFrame:
     """Adds ``random``: the candidates found random that do not overlap a base span."""
-    limit, mean = _threshold((held if held is not None else frame).select(F.explode("candidates").alias("c")))
-    near = " AND ".join(
-        f"NOT exists({kind}, s -> s.start < c.end AND c.start < s.end)" for kind in ("assign", "access", "hex")
-    )
-    keep = f"c.p_uniform >= {REJECT}D AND c.p_text / ({WEIGHT} / {mean!r}D) <= {limit!r}D AND {near}"
+    frame = _judged(frame, frame)
+    limit, mean = _threshold(frame.select(F.explode("candidates").alias("c")))
+    keep = f"c.p_uniform >= {REJECT}D AND c.p_text / ({WEIGHT} / {mean!r}D) <= {limit!r}D AND {APART}"
     return frame.withColumn("random", F.expr(f"filter(candidates, c -> {keep})"))
 
 
