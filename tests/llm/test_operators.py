@@ -415,6 +415,24 @@ def test_contaminated_documents_are_found(spark, odd, empty, docs, texts):
     assert decontamination.clean_documents(odd, own).count() == len(TEXTS) - 4
 
 
+def test_items_shorter_than_a_shingle_are_found_inside_documents(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "PART_WORDS", 10)
+    long = [f"p{i}" for i in range(12)]
+    own = spark.createDataFrame(
+        [(1, "The blue Whale swims"), (2, "answer"), (3, " ".join(long))], "item_id long, text string"
+    )
+    texts = [
+        (1, "we saw the blue whale swims far away the blue whale swims"), (2, "the blue whale never swims at all"),
+        (3, "an ANSWER"), (None, "it is the  answer to all of this"), (4, "answer"), (5, "a b p10 p11 c d e"),
+        (6, "x y " + " ".join(long) + " z"), (7, None), (4, "answer"),
+    ]
+    some = spark.createDataFrame(texts, "doc_id long, text string")
+    found = decontamination.contaminations(some, own).collect()
+    assert all(r["similarity"] == 1 for r in found)
+    rows = [(r["doc_id"] or 0, r["item_id"], r["part"], r["start_word"], r["n_words"]) for r in found]
+    assert sorted(rows) == [(0, 2, 0, 3, 1), (1, 1, 0, 2, 4), (3, 2, 0, 1, 1), (4, 2, 0, 0, 1), (6, 3, 0, 2, 12)]
+
+
 # --- 10 -----------------------------------------------------------------------
 
 

@@ -91,21 +91,46 @@ def _blocks() -> str:
 def items_of(benchmark: DataFrame) -> DataFrame:
     """item_id, part, n_words, shingles of each benchmark item; items without words are left out.
 
-    Repeated items are one; rows with a null item_id are left out, as nothing could name them.
+    The last part of a long item also takes the rest of fewer words than a shingle. Repeated items are one; rows with a null item_id are left out, as nothing could name them.
     """
     words = _words(benchmark.select("item_id", "text").filter("item_id IS NOT NULL").distinct())
+    last = f"(size(words) - {SHINGLE_WORDS}) DIV {PART_WORDS}"
+    length = f"{PART_WORDS} + IF(p = {last}, {SHINGLE_WORDS - 1}, 0)"
     cut = (
-        f"transform(sequence(0, (size(words) - 1) DIV {PART_WORDS}), "
-        f"p -> named_struct('part', p, 'words', slice(words, p * {PART_WORDS} + 1, {PART_WORDS})))"
+        f"transform(sequence(0, CAST({last} AS int)), "
+        f"p -> named_struct('part', p, 'words', slice(words, p * {PART_WORDS} + 1, {length})))"
     )
     parts = words.filter("size(words) > 0").select("item_id", F.explode_outer(F.expr(cut)).alias("p"))
     return _shingled(parts.select("item_id", "p.part", "p.words"))
 
 
+def _short_items(docs: DataFrame, items: DataFrame, spread) -> DataFrame | None:
+    """Where longer documents hold an item of fewer words than a shingle, word by word; None without such items."""
+    short = items.filter(f"n_words < {SHINGLE_WORDS}")
+    sizes = sorted(row["n_words"] for row in short.select("n_words").distinct().collect())
+    if not sizes:
+        return None
+    sequences = ", ".join(
+        f"IF(size(words) > {n}, transform(sequence(0, size(words) - {n}), "
+        f"i -> named_struct('at', i, 'h', xxhash64({n}, array_join(slice(words, i + 1, {n}), ' ')))), array())"
+        for n in sizes
+    )
+    places = _words(docs).select("key", "doc_id", F.explode_outer(F.expr(f"concat({sequences})")).alias("s"))
+    asked = short.select("item_id", "part", F.col("n_words").alias("item_words"), F.col("shingles")[0].alias("h"))
+    hits = places.select("key", "doc_id", "s.at", "s.h").join(spread(asked), "h")
+    first = hits.groupBy("key", "doc_id", "item_id", "part").agg(
+        F.min("at").alias("start_word"), F.first("item_words").alias("n_words")
+    )
+    return first.select(
+        "doc_id", "item_id", "part", "start_word", "n_words", F.lit(1.0).alias("similarity"), F.lit(0).alias("hamming")
+    )
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, part, start_word, n_words, similarity, hamming: the best window of each pair.
 
-    Shingles are of five words; a text with fewer words has its whole sequence as its only shingle.
+    Shingles are of five words; a text with fewer words has its whole sequence as its only shingle,
+    and an item with fewer words is found wherever a document holds that sequence.
     Shingles weigh 1 to 8, more the fewer items hold them. A document shorter than an item is one
     window. Similarity is the weighted sum of the common shingles over that of all, repetitions
     counted; ties go to the earliest window. Null and empty texts match nothing; repeated rows and
@@ -188,10 +213,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     alike = F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))
     best = F.max(F.struct(alike.alias("similarity"), (-F.col("start_word")).alias("first"), "n_words", "hamming"))
     found = common.filter(alike >= similarity).groupBy("key", "doc_id", "item_id", "part").agg(best.alias("best"))
-    return found.select(
+    found = found.select(
         "doc_id", "item_id", "part", (-F.col("best.first")).alias("start_word"), "best.n_words",
         "best.similarity", "best.hamming",
     )
+    short = _short_items(docs.withColumn("key", key), items, spread)
+    return found if short is None else found.unionByName(short)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
