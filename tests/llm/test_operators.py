@@ -433,6 +433,15 @@ def test_items_shorter_than_a_shingle_are_found_inside_documents(spark, monkeypa
     assert sorted(rows) == [(0, 2, 0, 3, 1), (1, 1, 0, 2, 4), (3, 2, 0, 1, 1), (4, 2, 0, 0, 1), (6, 3, 0, 2, 12)]
 
 
+def test_items_of_few_shingles_are_not_lost_to_fingerprints(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(9))) for i in range(1500)]
+    own = spark.createDataFrame(items, "item_id long, text string")
+    some = spark.createDataFrame([(i, t.rsplit(" ", 1)[0]) for i, t in items], "doc_id long, text string")
+    found = decontamination.contaminations(some, own).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(i, i) for i, _ in items]
+    assert all(r["similarity"] == 0.8 for r in found) and max(r["hamming"] for r in found) > decontamination.RADIUS
+
+
 # --- 10 -----------------------------------------------------------------------
 
 

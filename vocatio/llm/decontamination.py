@@ -6,13 +6,15 @@ shared shingle aligns one with an item. Every window and item gets a fingerprint
 126 bits from its weighted shingles. Fingerprints are cut into 9 blocks of 14 bits;
 items are filed under every block value within 3 bits of theirs, so any window
 within 35 bits of an item agrees with it in some block (36 differing bits would be
-needed to change 4 in each). Candidates within that radius are verified by the
+needed to change 4 in each). With few shingles the distance of fingerprints says
+little, so items of few are candidates wherever a window holds one of their heaviest
+shingles, without which it cannot be similar enough. Candidates are verified by the
 exact weighted similarity of their shingles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from vocatio.llm.tables import stored
 
@@ -25,6 +27,7 @@ LANES = 21  # a 63-bit hash is summed as 21 columns of three 21-bit lanes
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 9, 14, 3
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 MOST_WEIGHT = 8
+FEW_SHINGLES = 32  # items of at most as many, in effect, are not left to fingerprints
 BROADCAST_SHINGLES = 2_000_000  # beyond it the benchmark's shingles are joined by shuffle
 
 
@@ -104,6 +107,24 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return _shingled(parts.select("item_id", "p.part", "p.words"))
 
 
+def _heaviest(item_shingles: DataFrame, similarity: float) -> DataFrame:
+    """item_id, part, h: the heaviest shingles of each item of few, one of which any similar window holds.
+
+    A window without them lacks more than 1 - similarity of the item's weight. Shingles that outweigh
+    the others make fewer in effect: the square of the sum of weights over the sum of their squares.
+    """
+    of_item = W.partitionBy("item_id", "part")
+    weight = F.expr("item_tf * w")
+    earlier = of_item.orderBy(F.desc("x_weight"), "h").rowsBetween(W.unboundedPreceding, -1)
+    ranked = item_shingles.withColumn("x_weight", weight).select(
+        "item_id", "part", "h", F.sum("x_weight").over(of_item).alias("x_total"),
+        F.sum(F.expr("x_weight * x_weight")).over(of_item).alias("x_squares"),
+        F.coalesce(F.sum("x_weight").over(earlier), F.lit(0)).alias("x_before"),
+    )
+    few = F.expr(f"CAST(x_total AS double) * x_total <= {FEW_SHINGLES} * x_squares")
+    return ranked.filter(few & (F.col("x_before") <= (1 - similarity) * F.col("x_total") + 1e-6)).select("item_id", "part", "h")
+
+
 def _short_items(docs: DataFrame, items: DataFrame, spread) -> DataFrame | None:
     """Where longer documents hold an item of fewer words than a shingle, word by word; None without such items."""
     short = items.filter(f"n_words < {SHINGLE_WORDS}")
@@ -179,10 +200,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
         weighted.select(*where, "h", "tf", F.coalesce("w", F.lit(MOST_WEIGHT).cast("long")).alias("weight")),
         "window-shingles",
     )
-    prints = _fingerprints(weighted.withColumn("w", F.expr("tf * weight")), where)
+    prints = stored(_fingerprints(weighted.withColumn("w", F.expr("tf * weight")), where), "window-prints")
 
     item_shingles = held.groupBy("item_id", "part", "h").agg(F.count("*").alias("item_tf")).join(weights, "h")
-    item_prints = _fingerprints(item_shingles.withColumn("w", F.expr("item_tf * w")), ["item_id", "part"])
+    item_prints = stored(
+        _fingerprints(item_shingles.withColumn("w", F.expr("item_tf * w")), ["item_id", "part"]), "item-prints"
+    )
     masks = f"filter(sequence(0, {(1 << BLOCK_BITS) - 1}), x -> bit_count(x) <= {BLOCK_RADIUS})"
     filed = item_prints.select(
         "item_id", "part", F.col("f0").alias("i0"), F.col("f1").alias("i1"), F.col("total").alias("item_total"),
@@ -200,6 +223,18 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
         .select(*where, "total", "item_id", "part", "item_total", "hamming").distinct()
     )
 
+    holds = weighted.join(spread(_heaviest(item_shingles, similarity)), "h").select(*where, "item_id", "part").distinct()
+    holds = holds.join(
+        spread(item_prints.select("item_id", "part", F.col("f0").alias("i0"), F.col("f1").alias("i1"), F.col("total").alias("item_total"))),
+        ["item_id", "part"],
+    )
+    holds = holds.alias("l").join(
+        prints.alias("r"),
+        (F.col("l.key") == F.col("r.key")) & F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))
+        & (F.col("l.start_word") == F.col("r.start_word")) & (F.col("l.n_words") == F.col("r.n_words")),
+    ).select("l.*", "r.total", "r.f0", "r.f1").withColumn("hamming", hamming)
+    near = near.unionByName(holds.select(*near.columns)).distinct()
+
     paired = near.alias("n").join(
         weighted.alias("s"),
         (F.col("n.key") == F.col("s.key")) & F.col("n.doc_id").eqNullSafe(F.col("s.doc_id"))
