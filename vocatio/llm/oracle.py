@@ -85,10 +85,47 @@ best AS (SELECT *, row_number() OVER (PARTITION BY k, item_id ORDER BY similarit
 SELECT doc_id, item_id, CAST(first AS BIGINT) AS start_word, CAST(width AS BIGINT) AS n_words, round(similarity, 9) AS similarity
 FROM best JOIN ds USING (k) WHERE place = 1"""
 
+# crc32 of the doc_id's digits, bit by bit; the words of planted texts; then pairs of equal
+# six-word sequences at one distance, whose islands are the runs of any period.
+PERIODIC_RUNS = r"""
+WITH b AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w0,
+                  list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(CASE WHEN c = '' THEN 0 ELSE ascii(c) END AS BIGINT)) AS codes
+           FROM documents),
+c AS (SELECT *, xor(4294967295, CASE WHEN doc_id IS NULL THEN 4294967295 ELSE list_reduce(
+             list_concat([CAST(4294967295 AS BIGINT)], codes), lambda crc, code: list_reduce(
+                 list_concat([xor(crc, code)], CAST(range(8) AS BIGINT[])),
+                 lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) END) AS h FROM b),
+p AS (SELECT doc_id, r, w0, len(w0) AS n, h, h // 10 AS g FROM c),
+e AS (SELECT doc_id, r, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w0[1 + CASE
+             WHEN i < g % n THEN i ELSE g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) END]) ELSE w0 END AS w FROM p),
+grams AS (SELECT r, unnest(range(greatest(n - 5, 0))) AS i,
+                 unnest(list_transform(range(greatest(n - 5, 0)), lambda i: hash(array_to_string(w[i + 1 : i + 6], ' ')))) AS k FROM e),
+pairs AS (SELECT a.r, a.i, b.i - a.i AS q FROM grams a JOIN grams b ON a.r = b.r AND a.k = b.k AND a.i < b.i),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT r, q, min(i) AS start, max(i) - min(i) + 6 + q AS length FROM islands GROUP BY r, q, island),
+runs AS (SELECT r, start, length, min(q) AS period FROM stretches WHERE length >= greatest(12, 2 * q) GROUP BY r, start, length),
+listed AS (SELECT r, count(*) AS n_runs, max_by({'start': start, 'length': length, 'period': period}, [length, -start, -period]) AS best,
+                  string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+                  list({'a': start + period, 'z': start + length}) AS dropped FROM runs GROUP BY r),
+kept AS (SELECT r, list_transform(list_filter(range(n), lambda i: len(list_filter(dropped, lambda d: i >= d.a AND i < d.z)) = 0), lambda i: w[i + 1]) AS words
+         FROM e JOIN listed USING (r))
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+       1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(array_to_string(coalesce(words, w), ' ')) AS collapsed_sha256
+FROM e LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)"""
+
+EXACT_DEDUP = f"""
+WITH t AS (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS text FROM documents),
+g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, false) AS kept, sha256(text) AS text_sha256
+FROM t JOIN g USING (text)"""
+
 ORACLE_SQL = {
     "op2_near_duplicates": NEAR_DUPLICATES,
     "op5_url_verdicts": URL_VERDICTS,
     "op6_token_rollup": TOKEN_ROLLUP,
     "op7_warc_round_trip": WARC,
     "op9_decontamination": DECONTAMINATION,
+    "op11_periodic_runs": PERIODIC_RUNS,
+    "op12_exact_dedup": EXACT_DEDUP,
 }

@@ -1,14 +1,14 @@
-"""The ten operators as registered queries over the given tables."""
+"""The thirteen operators as registered queries over the given tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vocatio.llm import (
-    decontamination, language_id, language_model, near_duplicates, packing, phrase_prints, secret_scan,
-    token_rollup, url_rules, warc,
+    alignment, decontamination, digest_index, language_id, language_model, near_duplicates, packing, periodic_runs,
+    phrase_prints, secret_scan, token_rollup, url_rules, warc,
 )
-from vocatio.llm.tables import table
+from vocatio.llm.tables import stored, table
 from vocatio.sources.folders import fresh_folder
 
 # The rules given with the task, then the method's own patterns.
@@ -27,10 +27,10 @@ PATTERNS = [
 ]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,10 +87,55 @@ def op10_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents")).drop("n_random")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """In texts whose h = crc32(doc_id) ends in 0, all words from a on repeat the p words there.
+
+    With n words and g = h div 10, a is g mod n and p is 1 + (n - a) div (3 + g mod 8).
+    """
+    h = "crc32(coalesce(CAST(doc_id AS string), ''))"
+    a, p = "CAST(g % n AS int)", "CAST(1 + (n - g % n) DIV (3 + g % 8) AS int)"
+    rest = f"(n - {a})"
+    words = r"filter(split(text, r'[\x20\x09-\x0D]+'), w -> w <> '')"
+    planted = docs.withColumn("h", F.expr(h)).withColumn("words", F.expr(f"IF(h % 10 = 0, {words}, NULL)"))
+    planted = planted.withColumn("n", F.size("words")).withColumn("g", F.expr("h DIV 10"))
+    again = f"slice(flatten(array_repeat(slice(words, {a} + 1, {p}), CAST({rest} DIV {p} + 1 AS int))), 1, {rest})"
+    text = f"IF(n > 0, array_join(concat(slice(words, 1, {a}), {again}), ' '), text)"
+    return planted.select("doc_id", F.expr(text).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = "array_max(transform(runs, r -> struct(r.length AS length, -r.start AS first, -r.period AS least)))"
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.withColumn("best", F.expr(best)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.first")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.least")).alias("period"),
+        F.expr("1000 * best.length DIV (-best.least)").alias("exponent_milli"),
+        F.sha2(F.expr(lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents come in as two batches, so that the second meets the index that the first has left."""
+    return digest_index.exact_duplicates(table(spark, sf_dir, "documents"), fresh_folder(spark, "digests"), batches=2)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model")
+    )
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    found = stored(found.withColumn("groups_sha256", digest).drop("groups"), "alignments")
+    return alignment.with_counts(found).select(
+        "doc_id", "n_a", "n_b", "n_groups", F.col("n_all").alias("n_links"), "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES = {
     run.__name__: run
     for run in (
         op1_language_id, op2_near_duplicates, op3_phrase_fingerprints, op4_lm_scores, op5_url_verdicts,
         op6_token_rollup, op7_warc_round_trip, op8_packing, op9_decontamination, op10_secret_spans,
+        op11_periodic_runs, op12_exact_dedup, op13_alignment,
     )
 }

@@ -70,7 +70,7 @@ def _hashes(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix(found ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))), starts
 
 
-def _pieces(text: bytes):
+def pieces(text: bytes):
     """A long text in pieces that end between words."""
     at = 0
     while len(text) - at > CHUNK_BYTES:
@@ -87,7 +87,7 @@ def document_words(texts: list[bytes]):
     """The word hashes of each text, in order; no words for an empty text."""
     for first, last in texts_by_size(texts, CHUNK_BYTES):
         if last - first == 1 and len(texts[first]) > CHUNK_BYTES:
-            yield np.concatenate([_hashes(piece + b" ")[0] for piece in _pieces(texts[first])])
+            yield np.concatenate([_hashes(piece + b" ")[0] for piece in pieces(texts[first])])
             continue
         group = texts[first:last]
         found, starts = _hashes(b" ".join(group) + b" ")
