@@ -1,12 +1,13 @@
 """Files in and out."""
 
 import os
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from vocatio.sources import datasets, folders, postings
+from vocatio.sources import datasets, folders, manifests, postings
 
 HEADER = "rec_id,position_responsibilities,city\n"
 
@@ -54,8 +55,10 @@ def test_cells_of_all_kinds(spark, folder):
     assert {r["year"] for r in df.collect()} == {"2021"}
     with pytest.raises(Exception, match="too many cells"):
         postings.read_postings(spark, f"{folder}/*.csv").count()
-    skipped = postings.skipped_counts(spark, f"{folder}/*.csv").collect()
-    assert [tuple(row) for row in skipped] == [("2021", 1)]
+    marked = postings.read_postings(spark, f"{folder}/*.csv", bad_rows="mark")
+    row = marked.where("bad_record IS NOT NULL").first()
+    assert (row["year"], row["rec_id"], row["bad_record"]) == ("2021", None, "e,one,two,three")
+    assert marked.count() == 7
 
 
 def test_an_empty_file_is_an_error(spark, folder):
@@ -65,6 +68,121 @@ def test_an_empty_file_is_an_error(spark, folder):
         postings.read_postings(spark, f"{folder}/*.csv")
 
 
+RANGES = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+
+
+@pytest.fixture
+def small_ranges(spark):
+    def cut(size):
+        for name in RANGES:
+            spark.conf.set(name, str(size))
+
+    yield cut
+    for name in RANGES:
+        spark.conf.unset(name)
+
+
+def awkward_cells(draw):
+    return draw.choice(
+        ["", "plain", "two\nlines", 'say ""so""', "a,b", "\r\n\r\n", '""', "\n", 'end""', "x" * 90, '""\n"",""\n', "ümlaut 日本"]
+    )
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_ranges_cut_anywhere_give_the_records_of_a_whole_file(spark, folder, small_ranges, line_end):
+    """Quotes, doubled quotes, line ends and whole cells across borders; a file of one range is the measure."""
+    draw = random.Random(11)
+    rows, expected = [], []
+    for i in range(400):
+        cells = [awkward_cells(draw) for _ in range(2)]
+        quoted = [f'"{c}"' if draw.random() < 0.5 or any(x in c for x in ',"\r\n') else c for c in cells]
+        if i % 29 == 0:
+            quoted[1] = 'stray " quote" in a plain cell'
+            cells[1] = quoted[1].replace('"', '""')
+        rows.append(",".join([f"k{i}", *quoted]) + line_end + (line_end if i % 17 == 0 else ""))
+        expected.append((f"k{i}", *(c.replace('""', '"') for c in cells)))
+    put(folder, "p_2020.csv", ("\ufeff" + HEADER.replace("\n", line_end) + "".join(rows)).encode())
+    put(folder, "p_2021.csv", "position_responsibilities,rec_id\nother,z")
+    whole = sorted(texts(postings.read_postings(spark, folder).fillna("")))
+    assert whole == sorted([*expected, ("z", "other", "")])
+    for size in (4000, 1000, 300):
+        small_ranges(size)
+        found = postings.read_postings(spark, folder).fillna("")
+        assert sorted(texts(found)) == whole
+        in_order = [i for i, _, _ in texts(found) if i != "z"]
+        assert in_order == [f"k{i}" for i in range(400)]
+    assert found.select("ord_block").distinct().count() > 5
+
+
+def test_headers_come_from_one_scan(spark, folder):
+    """As many jobs for thirty files as for two."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(name, multi_line):
+        spark.sparkContext.setJobGroup(name, name)
+        frame = postings.read_postings(spark, f"{folder}/{name}", multi_line=multi_line)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert frame.count() == {"few": 2, "many": 30}[name]
+        return len(tracker.getJobIdsForGroup(name))
+
+    for name, n in (("few", 2), ("many", 30)):
+        for i in range(n):
+            put(f"{folder}/{name}", f"p_{1980 + i}.csv", HEADER + f"a,t{i},x\n")
+    assert jobs("few", True) == jobs("many", True)
+    assert jobs("few", False) == jobs("many", False)
+
+
+def test_files_that_end_inside_a_cell_or_have_no_header(spark, folder):
+    put(f"{folder}/a", "p_2020.csv", HEADER + 'a,"never closed,x\nb,t,y\n')
+    with pytest.raises(ValueError, match="not closed"):
+        postings.read_postings(spark, f"{folder}/a")
+    for multi_line in (True, False):
+        put(f"{folder}/b{multi_line}", "p_2020.csv", "\n\n")
+        with pytest.raises(ValueError, match="no header"):
+            postings.read_postings(spark, f"{folder}/b{multi_line}", multi_line=multi_line)
+
+
+def test_repeated_and_empty_names_of_columns(spark, folder):
+    put(folder, "p_2020.csv", "a,,a,B\n1,2,3,4\n")
+    for multi_line in (True, False):
+        df = postings.read_postings(spark, folder, multi_line=multi_line)
+        assert df.columns[:4] == ["a0", "_c1", "a2", "B"] and df.first()["_c1"] == "2"
+
+
+def test_malformed_rows_are_kept_apart(spark, folder):
+    put(f"{folder}/in", "p_2020.csv", HEADER + 'a,t,x\nb,"two\nlines",y,z\n')
+    put(f"{folder}/in", "p_2021.csv", HEADER + "c,t,x,1,2\n")
+    for multi_line in (True, False):
+        store = f"{folder}/store{multi_line}"
+        if not multi_line:
+            put(f"{folder}/in", "p_2020.csv", HEADER + "a,t,x\nb,two lines,y,z\n")
+        postings.ingest_postings(spark, f"{folder}/in", store, multi_line=multi_line)
+        assert [r["rec_id"] for r in postings.ingested(spark, store).collect()] == ["a"]
+        bad = postings.quarantined(spark, store).orderBy("year").collect()
+        assert [r["year"] for r in bad] == ["2020", "2021"] and bad[0]["bad_record"].startswith("b,")
+        # A later delivery without malformed rows replaces its year.
+        put(f"{folder}/again", "p_2021.csv", HEADER + "c,t,x\n")
+        postings.ingest_postings(spark, f"{folder}/again", store, multi_line=multi_line)
+        assert postings.quarantined(spark, store).count() == 1 and postings.ingested(spark, store).count() == 2
+        put(f"{folder}/in", "p_2020.csv", HEADER + 'a,t,x\nb,"two\nlines",y,z\n')
+
+
+def test_manifests_see_replaced_files(spark, folder):
+    put(f"{folder}/in", "p_2020.csv", HEADER + "a,t,x\n")
+    put(f"{folder}/in", "p_2021.csv", HEADER + "a,t,x\n")
+    sample(spark, [("2020", "1", 1), ("2021", "1", 1)]).write.partitionBy("year").parquet(f"{folder}/done")
+
+    def now():
+        return manifests.of_files(spark, f"{folder}/in/*.csv")
+
+    assert manifests.finished(spark, now(), f"{folder}/m", f"{folder}/done") == set()
+    manifests.store(now(), ["2020", "2021"], f"{folder}/m")
+    assert manifests.finished(spark, now(), f"{folder}/m", f"{folder}/done") == {"2020", "2021"}
+    put(f"{folder}/in", "p_2021.csv", HEADER + "b,t,x\n")
+    os.utime(f"{folder}/in/p_2021.csv", (1, 1))
+    assert manifests.finished(spark, now(), f"{folder}/m", f"{folder}/done") == {"2020"}
+
+
 def test_split_files_keep_their_order(spark, folder):
     put(folder, "p_2020.csv", HEADER + "".join(f"{i},t{i},x\n" for i in range(20000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")

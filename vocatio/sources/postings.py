@@ -1,20 +1,25 @@
 """Reading yearly postings files.
 
-A quoted cell may hold line breaks. Such a file cannot be split: one file is
-one task, so a large year should arrive as several files, and each file should
-be parsed once and stored as Parquet. Files known to have no line breaks in
-their cells are read with ``multi_line=False`` and split like any text.
+A quoted cell may hold line breaks. Files are read by many tasks all the same: see
+``records`` for how byte ranges find their records. Headers come from the same pass, so the
+number of jobs does not depend on the number of files. Files known to have no line breaks in
+their cells are read with ``multi_line=False``, which saves the first pass.
+
+Rows with more cells than their header are malformed. They fail the job, or are left out
+(``skip``), or marked with their text (``mark``). ``ingest_postings`` stores postings and
+malformed rows in one pass, so that both can be counted and looked at afterwards.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vocatio import fixed_values as fixed
 from vocatio.functions import text as rules
+from vocatio.sources import records
+from vocatio.sources.datasets import read_dataset, write_dataset
 
 CSV_OPTIONS = {
     "header": "true",
@@ -24,8 +29,10 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
 }
-HEADER_READERS = 16
+CELL_OPTIONS = {name: CSV_OPTIONS[name] for name in ("quote", "escape", "mode")}
 OVERFLOW = "__overflow"
+BAD_RECORD = "bad_record"
+POSITION = ("year", "ord_file", "ord_block", "ord_pos")
 
 
 def input_path(folder: str, year: str | int, template: str = fixed.RAW_FILE_TEMPLATE) -> str:
@@ -65,9 +72,12 @@ def text_schema(names: list[str]) -> T.StructType:
 
 
 def check_row_lengths(df: DataFrame, bad_rows: str) -> DataFrame:
-    """Rows with more cells than the header: skip them, or fail the job."""
-    if bad_rows not in ("skip", "fail"):
-        raise ValueError("bad_rows must be 'skip' or 'fail'")
+    """Rows with more cells than the header: skip them, mark them, or fail the job."""
+    if bad_rows not in ("skip", "fail", "mark"):
+        raise ValueError("bad_rows must be 'skip', 'mark' or 'fail'")
+    if bad_rows == "mark":
+        return df
+    df = df.drop(BAD_RECORD) if BAD_RECORD in df.columns else df
     too_long = F.col(OVERFLOW).isNotNull()
     if bad_rows == "skip":
         return df.where(~too_long).drop(OVERFLOW)
@@ -76,19 +86,19 @@ def check_row_lengths(df: DataFrame, bad_rows: str) -> DataFrame:
     return df.where(checked).drop(OVERFLOW)
 
 
+def _year_source(path: Column, year_from: str) -> Column:
+    """The part of a path that tells the year: the file's name, or that of its folder."""
+    return F.element_at(F.split(path, "/"), {"file": -1, "folder": -2}[year_from])
+
+
 def position_columns(year_from: str = "file") -> list[Column]:
     """``year``, ``ord_file`` and ``ord_block`` of rows straight above a scan.
 
-    The year is in the file's name, or in the name of its folder. The order
-    columns record where a row stood: rows of a DataFrame have no order of
-    their own. A file that is split has several blocks.
+    The order columns record where a row stood: rows of a DataFrame have no order of their own.
+    A file that is split has several blocks.
     """
-    names = {
-        "file": F.col("_metadata.file_name"),
-        "folder": F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2),
-    }
     return [
-        rules.year_from_name(names[year_from]).alias("year"),
+        rules.year_from_name(_year_source(F.col("_metadata.file_path"), year_from)).alias("year"),
         F.col("_metadata.file_path").alias("ord_file"),
         F.col("_metadata.file_block_start").alias("ord_block"),
     ]
@@ -103,49 +113,89 @@ def read_postings(
 ) -> DataFrame:
     """All cells as text, plus ``year`` and the order columns.
 
-    ``ord_pos`` orders the rows of a block. Files with different headers are
-    read separately and united by column name. Rows with too many cells fail the
-    job, or are skipped if asked for; ``skipped_counts`` tells how many. Files
-    without a byte are an error.
+    ``ord_pos`` orders the rows of a block. Files with different headers are united by column
+    name. Rows with too many cells fail the job, or are skipped if asked for; with ``mark`` they
+    stay, with null cells and their text in ``bad_record``. Files without a byte are an error.
     """
-    parts = [check_row_lengths(rows, bad_rows) for rows in _parts(spark, paths, year_from, multi_line)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def skipped_counts(
-    spark: SparkSession, paths: str | list[str], year_from: str = "file", multi_line: bool = True
-) -> DataFrame:
-    """Rows with too many cells per year: those that ``bad_rows="skip"`` leaves out."""
-    parts = [
-        rows.select("year", F.col(OVERFLOW).isNotNull().cast("long").alias("bad"))
-        for rows in _parts(spark, paths, year_from, multi_line)
-    ]
-    return reduce(DataFrame.unionByName, parts).groupBy("year").agg(F.sum("bad").alias("skipped"))
+    files = list_files(spark, paths)
+    if not files:
+        raise FileNotFoundError(f"no postings files at {paths}")
+    read = _multi_line if multi_line else _single_line
+    return check_row_lengths(read(spark, files, year_from), bad_rows)
+
+
+def _with_cells(rows: DataFrame, headers: list[tuple[str, ...]], cells: list[Column]) -> DataFrame:
+    """One column per name of any header; malformed rows keep their text only."""
+    too_long = F.coalesce(*[c[OVERFLOW] for c in cells])
+    named = [
+        F.when(
+            F.col(OVERFLOW).isNull(), F.coalesce(*[c[name] for c, header in zip(cells, headers) if name in header])
+        ).alias(name)
+        for name in dict.fromkeys(name for header in headers for name in header)
+    ]
+    return rows.withColumn(OVERFLOW, too_long).select(
+        *named, *POSITION, OVERFLOW, F.when(F.col(OVERFLOW).isNotNull(), F.col("record")).alias(BAD_RECORD)
+    )
 
 
-def _parts(
-    spark: SparkSession, paths: str | list[str], year_from: str, multi_line: bool
-) -> list[DataFrame]:
-    """The rows of the files of each header, with the cells beyond the header."""
-    files = list_files(spark, paths)
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        headers = list(pool.map(lambda path: tuple(header_of(spark, path)), files))
+def _multi_line(spark: SparkSession, files: list[str], year_from: str) -> DataFrame:
+    """Records cut out of byte ranges, then parsed one by one; every file is scanned once for all headers."""
+    layout = records.layout_of(spark, files)
+    headers = list(dict.fromkeys(layout.headers.values()))
+    rows = records.read_records(spark, files, layout)
+    rows = rows.select(
+        rules.year_from_name(_year_source(F.col("file"), year_from)).alias("year"),
+        F.col("file").alias("ord_file"), F.col("block").alias("ord_block"), F.col("pos").alias("ord_pos"), "record",
+    )
+    parsed = [records.parsed(F.col("record"), [*names, OVERFLOW], CELL_OPTIONS) for names in headers]
+    if len(headers) > 1:
+        number = {file: headers.index(names) for file, names in layout.headers.items()}
+        of_file = spark.createDataFrame(list(number.items()), "ord_file string, header_no int")
+        rows = rows.join(of_file, "ord_file", "left")
+        parsed = [F.when(F.col("header_no") == i, cells) for i, cells in enumerate(parsed)]
+    rows = rows.withColumns({f"__cells{i}": cells for i, cells in enumerate(parsed)})
+    return _with_cells(rows, headers, [F.col(f"__cells{i}") for i in range(len(headers))])
+
+
+def _single_line(spark: SparkSession, files: list[str], year_from: str) -> DataFrame:
+    """Files whose lines are records, split like any text; one scan finds all headers."""
+    of_file = records.first_lines(spark, files)
     parts = []
-    for names in dict.fromkeys(headers):
+    for names in dict.fromkeys(of_file.values()):
         rows = (
-            spark.read.options(**CSV_OPTIONS | {"multiLine": str(multi_line).lower()})
+            spark.read.options(**CSV_OPTIONS | {"multiLine": "false"})
             .schema(text_schema([*names, OVERFLOW]))
-            .csv([path for path, header in zip(files, headers) if header == names])
-            .select(
-                "*",
-                *position_columns(year_from),
-                F.monotonically_increasing_id().alias("ord_pos"),
-            )
+            .csv([path for path, header in of_file.items() if header == names])
+            .select("*", *position_columns(year_from), F.monotonically_increasing_id().alias("ord_pos"))
         )
-        parts.append(rows)
-    if not parts:
-        raise FileNotFoundError(f"no postings files at {paths}")
-    return parts
+        # The text of a malformed row, as far as its cells tell.
+        bad = F.to_csv(F.struct(*[F.col(f"`{name}`") for name in [*names, OVERFLOW]]))
+        parts.append(rows.withColumn(BAD_RECORD, F.when(F.col(OVERFLOW).isNotNull(), bad)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+# --- ingest with a quarantine -------------------------------------------------------------
+
+
+def ingest_postings(
+    spark: SparkSession, paths: str | list[str], store: str, year_from: str = "file", multi_line: bool = True
+) -> None:
+    """Parse files once and store postings and malformed rows by year; a repeated ingest replaces its years.
+
+    Malformed rows have null cells and their text in ``bad_record``.
+    """
+    rows = read_postings(spark, paths, "mark", year_from, multi_line)
+    write_dataset(rows.drop(OVERFLOW), store)
+
+
+def ingested(spark: SparkSession, store: str, years: list[str] | None = None) -> DataFrame:
+    """The postings of an ingest."""
+    return read_dataset(spark, store, years).where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
+
+
+def quarantined(spark: SparkSession, store: str, years: list[str] | None = None) -> DataFrame:
+    """The malformed rows of an ingest: year, position and text."""
+    return read_dataset(spark, store, years).where(F.col(BAD_RECORD).isNotNull()).select(*POSITION, BAD_RECORD)
 
 
 def read_reference_table(spark: SparkSession, path: str, casts: dict[str, str] | None = None) -> DataFrame:
