@@ -48,6 +48,16 @@ def test_from_raw_files_to_merged_years(spark, folder, capsys):
     assert read_dataset(spark, f"{folder}/store/clean_counts").count() == 2
     command.main(["classify", *common, "--skip-finished"])
     assert "nothing to do" in capsys.readouterr().out
+    # Another file in place of one, with as many rows, is seen.
+    put(f"{folder}/raw/recruitment_infos_content_2021.csv", header + f"z,{TEXT}\nz,{TEXT}\ny,short\n")
+    command.main(["classify", *common, "--skip-finished"])
+    final = read_dataset(spark, f"{folder}/store/crosswalk")
+    assert sorted((r["year"], r["rec_id"]) for r in final.collect()) == [("2020", "a"), ("2021", "z")]
+    put(f"{folder}/raw/recruitment_infos_content_2021.csv", header + f"z,{TEXT},more\nx,{TEXT}\n")
+    with pytest.raises(SystemExit, match="malformed"):
+        command.main(["classify", *common, "--skip-finished"])
+    command.main(["classify", *common, "--skip-finished", "--bad-rows", "skip"])
+    assert "2021: 1 rows with too many cells" in capsys.readouterr().out
     command.main(["classify", *common, "--only", "crosswalk"])
     assert read_dataset(spark, f"{folder}/store/crosswalk").count() == 2
     command.main(["merge", "--store", f"{folder}/store", "--out", f"{folder}/out", "--years", "2020", "1999"])

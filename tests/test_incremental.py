@@ -2,6 +2,7 @@
 
 import os
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -106,6 +107,28 @@ def test_dedup_on_arrival_remembers_earlier_batches(spark, folder):
     assert arrive([("2021", "z", LONG + "4", 8)]) == [*found, ("2021", "a", "3"), ("2021", "z", "4")]
 
 
+def test_a_batch_looks_up_its_own_ids_only(spark, folder):
+    """The files of the state store that a batch writes do not grow with the number of batches."""
+    schema = "year string, rec_id string, position_responsibilities string, ord long"
+
+    def written():
+        found = {}
+        for top, _, names in os.walk(f"{folder}/state/ids/state"):
+            found |= {os.path.join(top, n): os.path.getsize(os.path.join(top, n)) for n in names if n.endswith(".changelog")}
+        return found
+
+    sizes = []
+    for batch in range(6):
+        rows = [("2020", f"{batch}-{n}", LONG, n) for n in range(200)] + [("2020", f"0-{batch}", LONG, 900 + batch)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        before = written()
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        arrivals.start_clean(stream, f"{folder}/out", f"{folder}/state", order_by=("ord",)).awaitTermination()
+        sizes.append(sum(size for path, size in written().items() if path not in before))
+    assert read_dataset(spark, f"{folder}/out").count() == 1200
+    assert sizes[0] > 0 and max(sizes[1:]) < 2 * sizes[0]
+
+
 def test_a_model_stage_resumes_after_a_failure(spark, folder):
     asked = spark.sparkContext.accumulator(0)
 
@@ -219,7 +242,7 @@ def test_stored_stages_equal_the_lazy_plan(spark, job, posted, folder):
     assert sorted(lazy.columns) == sorted(stored.columns)
     columns = sorted(lazy.columns)
     assert sorted(map(str, lazy.select(columns).collect())) == sorted(map(str, stored.select(columns).collect()))
-    assert sorted(os.listdir(folder)) == sorted(STAGES)
+    assert sorted(os.listdir(folder)) == sorted([*STAGES, "answers"])
     found = {r["rec_id"]: (r["match_occupation"], r["onet_code"], r["level1_code"]) for r in stored.collect()}
     assert found == {"a": ("word man", "15-1.00", "1"), "b": ("zebra zoo", None, "2")}
     # Starting later takes the stored stage as input; other years are left alone.
@@ -229,6 +252,47 @@ def test_stored_stages_equal_the_lazy_plan(spark, job, posted, folder):
     assert read_dataset(spark, f"{folder}/crosswalk").count() == 2
 
 
+def test_a_lost_run_is_resumed_without_asking_again(spark, job, folder):
+    asked = spark.sparkContext.accumulator(0)
+
+    def counting(lost_at):
+        def factory():
+            embed = models.letter_profile()
+
+            def run(texts):
+                if any(lost_at in text for text in texts):
+                    raise RuntimeError("model lost")
+                asked.add(len(texts))
+                return embed(texts)
+
+            return run
+
+        return factory
+
+    def letters(n):
+        return "".join(chr(97 + int(c)) for c in str(n))
+
+    rows = [("2020", f"r{n}", f"{LONG} {letters(n % 40)}", n) for n in range(120)]
+    posted = spark.createDataFrame(rows, "year string, rec_id string, position_responsibilities string, ord long")
+    posted = posted.repartition(4)
+    expected = classify(posted, job)
+    columns = sorted(expected.columns)
+    with pytest.raises(Exception, match="model lost"):
+        classify(posted, replace(job, embed=counting(f" {letters(17)}；"), answer_batch=3), store=folder)
+    before = asked.value
+    assert 0 < before < 40
+    kept = spark.read.parquet(f"{folder}/answers/embed").count()
+    found = classify(posted, replace(job, embed=counting("never")), store=folder)
+    assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, expected.select(columns).collect()))
+    assert spark.read.parquet(f"{folder}/answers/embed").count() == 40  # equal texts are asked once
+    assert asked.value - before == 40 - kept
+    classify(posted, replace(job, embed=counting("never")), store=folder)
+    assert asked.value - before == 40 - kept
+    # Another version of the model has answers of its own.
+    classify(posted, replace(job, embed=counting("never"), model_names=("generate", "embed 2", "rerank")), store=folder)
+    assert asked.value - before == 80 - kept
+
+
 def test_nothing_left_after_cleaning(spark, job, posted, folder):
     none = posted.where("rec_id = 'c'")
     assert classify(none, job, store=folder).count() == 0

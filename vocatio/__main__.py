@@ -22,9 +22,10 @@ from vocatio.operators.crosswalk import CODE_COLUMN, join_report
 from vocatio.operators.dictionary import cached_dictionary, prepare_dictionary
 from vocatio.operators.match import MatchSettings, match_counts
 from vocatio.operators.quality import reconcile
+from vocatio.operators.sizing import dimension
 from vocatio.operators.standardize import standardize_counts
 from vocatio.plans.classify import STAGES, Job, chosen_stages, classify
-from vocatio.sources import datasets, postings
+from vocatio.sources import datasets, manifests, postings
 
 STAND_IN_EMBED = "vocatio.functions.models:letter_profile"
 SETTINGS = (
@@ -84,20 +85,26 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
-def _years(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...]) -> list[str]:
-    """The years to treat, from names and partitions only."""
-    if args.years:
-        years = args.years
-    elif stages[0] == "clean":
-        years = postings.years_of_files(spark, postings.input_path(args.raw, "*"))
-    else:
-        years = datasets.years_in(datasets.read_dataset(spark, _input_root(args, stages)))
+def _manifest(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...]) -> DataFrame:
+    """The input's files by year, from their listing only."""
+    if stages[0] == "clean":
+        return manifests.of_files(spark, postings.input_path(args.raw, "*"))
+    return manifests.of_dataset(spark, _input_root(args, stages))
+
+
+def _years(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...], now: DataFrame) -> list[str]:
+    """The years to treat; a finished one is one whose input files are those of the stored manifest."""
+    years = args.years or sorted(row["year"] for row in now.select("year").collect())
     if args.skip_finished:
-        done = datasets.read_if_present(spark, f"{args.store}/{stages[-1]}")
-        years = sorted(set(years) - set(datasets.years_in(done) if done is not None else []))
+        done = manifests.finished(spark, now, _taken_root(args, stages), f"{args.store}/{stages[-1]}")
+        years = sorted(set(years) - done)
     return years
 
 
+def _taken_root(args: argparse.Namespace, stages: tuple[str, ...]) -> str:
+    return f"{args.store}/{stages[-1]}_from_{stages[0]}"
+
+
 def _input_root(args: argparse.Namespace, stages: tuple[str, ...]) -> str:
     return f"{args.store}/{STAGES[STAGES.index(stages[0]) - 1]}"
 
@@ -105,15 +112,18 @@ def _input_root(args: argparse.Namespace, stages: tuple[str, ...]) -> str:
 def _input(
     spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...], years: list[str]
 ) -> DataFrame:
-    if stages[0] == "clean":
-        paths = [postings.input_path(args.raw, year) for year in years]
-        if args.bad_rows == "skip":
-            for row in postings.skipped_counts(spark, paths, multi_line=not args.single_line).collect():
-                print(f"{row['year']}: {row['skipped']} rows with too many cells skipped")
-        return postings.read_postings(
-            spark, paths, bad_rows=args.bad_rows, multi_line=not args.single_line
-        )
-    return datasets.read_dataset(spark, _input_root(args, stages), years)
+    """The first stage's input; raw files are parsed once and stored with their malformed rows."""
+    if stages[0] != "clean":
+        return datasets.read_dataset(spark, _input_root(args, stages), years)
+    root = f"{args.store}/postings"
+    paths = [postings.input_path(args.raw, year) for year in years]
+    postings.ingest_postings(spark, paths, root, multi_line=not args.single_line)
+    bad = postings.quarantined(spark, root, years).groupBy("year").count().orderBy("year").collect()
+    for row in bad:
+        print(f"{row['year']}: {row['count']} rows with too many cells, kept in {root}")
+    if bad and args.bad_rows == "fail":
+        raise SystemExit("malformed rows; --bad-rows skip leaves them out")
+    return postings.ingested(spark, root, years)
 
 
 def _job(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...]) -> Job:
@@ -127,10 +137,10 @@ def _job(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...])
     prompt = {} if args.prompt_prefix is None else {"prompt_prefix": args.prompt_prefix}
     if "match" in stages:
         entries = prepare_dictionary(postings.read_occupations(spark, args.occupations))
-        dictionary = cached_dictionary(entries, embed, f"{args.store}/vectors", model)
+        dictionary = dimension(cached_dictionary(entries, embed, f"{args.store}/vectors", model))
     if "crosswalk" in stages:
-        mapping = postings.read_mapping(spark, args.mapping)
-        detail = postings.read_reference_table(spark, args.detail) if args.detail else None
+        mapping = dimension(postings.read_mapping(spark, args.mapping))
+        detail = dimension(postings.read_reference_table(spark, args.detail)) if args.detail else None
     return Job(
         dictionary=dictionary,
         mapping=mapping,
@@ -143,19 +153,24 @@ def _job(spark: SparkSession, args: argparse.Namespace, stages: tuple[str, ...])
         min_effective_len=args.min_effective_len,
         code_column=args.code_column,
         best_only=args.best_only,
+        model_names=(
+            f"{args.generate} {args.prompt_prefix} {args.prompt_suffix}", model, f"{args.rerank}"
+        ),
         **prompt,
     )
 
 
 def _classify(spark: SparkSession, args: argparse.Namespace) -> None:
     stages = chosen_stages(args.start_from, args.only)
-    years = _years(spark, args, stages)
+    now = _manifest(spark, args, stages)
+    years = _years(spark, args, stages, now)
     if not years:
         print("nothing to do: all years are finished")
         return
     job = _job(spark, args, stages)
     source = _input(spark, args, stages, years)
     classify(source, job, args.start_from, args.only, args.store, years)
+    manifests.store(now, years, _taken_root(args, stages))
     if "clean" in stages:
         datasets.write_counts(clean_counts(source, job.min_effective_len), f"{args.store}/clean_counts")
         datasets.read_dataset(spark, f"{args.store}/clean_counts").orderBy("year").show()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vocatio import fixed_values as fixed
 from vocatio.functions import models, text as rules
+from vocatio.functions.answers import answered
 from vocatio.operators.clean import require_columns
 
 
@@ -19,16 +20,21 @@ def standardize(
     text_column: str = fixed.TEXT_COLUMN,
     output_column: str = fixed.STANDARDIZED_COLUMN,
     max_chars: int = fixed.MAX_INPUT_CHARS,
+    answers: tuple[str, str, int] | None = None,
 ) -> DataFrame:
     """Send every non-blank posting to the model and format its answer.
 
-    Blank postings are not sent; they get '' and ``standardize_ok`` = false.
+    Blank postings are not sent; they get '' and ``standardize_ok`` = false. With ``answers``, a
+    folder, the model's name and the prompts per commit, answers are kept there and each prompt is
+    asked once.
     """
     require_columns(postings, [text_column])
     raw = rules.text_or_empty(F.col(text_column))
     sent = F.when(rules.strip(raw) != "", rules.prompt(raw, prefix, suffix, max_chars=max_chars))
-    answer = models.generated(sent, factory)
-    return _with_output(postings, rules.format_numbered(answer), output_column)
+    if answers is None:
+        return _with_output(postings, rules.format_numbered(models.generated(sent, factory)), output_column)
+    asked = answered(postings, sent, "__answer", lambda prompt: models.generated(prompt, factory), *answers)
+    return _with_output(asked, rules.format_numbered(F.col("__answer")), output_column).drop("__answer")
 
 
 def rule_based_duties(text: Column, max_items: int = 5) -> Column:

@@ -10,20 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vocatio import fixed_values as fixed
 from vocatio.functions import text as rules
 from vocatio.operators.clean import ORDER_COLUMNS, clean_postings, first_per_id
-from vocatio.sources.datasets import (
-    read_dataset,
-    read_if_present,
-    write_counts,
-    write_dataset,
-    years_in,
-)
+from vocatio.sources import manifests
+from vocatio.sources.datasets import read_dataset, read_if_present, write_dataset
 from vocatio.sources.postings import (
     CSV_OPTIONS,
     OVERFLOW,
@@ -33,6 +27,12 @@ from vocatio.sources.postings import (
 )
 
 
+# Spark's settings of state stores: keyed files, of which only changes are written per batch.
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGE_LOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
+
 def _position_in_task(column: Column) -> Column:
     """Running row number within the task that reads a file.
 
@@ -128,29 +128,33 @@ def start_clean(
     posting hides its later copies; null and blank ids are one group per year.
     Files that arrive in order give the rows of ``clean_postings``.
 
-    The ids met so far lie below ``<output>_ids``, one folder per micro-batch;
-    each batch is joined to those of its years, one row per id on either side.
-    A batch that is repeated after a failure sees the ids of earlier batches
-    only and replaces its own folders, so its rows are written once.
+    Each micro-batch is reduced to its first postings, stored below
+    ``<output>_firsts``. A second stream takes them, one micro-batch at a time,
+    past a state store of the ids met so far, so that a batch looks up its own
+    ids only, however many came before. A micro-batch that is repeated after a
+    failure finds its first postings stored and its ids met: its rows are
+    written once. The number of state partitions is that of shuffle partitions
+    at the first start.
     """
-    ids_root = f"{output.rstrip('/')}_ids"
+    firsts, taken = f"{output.rstrip('/')}_firsts", f"{output.rstrip('/')}_taken"
 
     def take(batch: DataFrame, number: int) -> None:
-        key = F.coalesce(F.col(id_column), F.lit(""))
-        new = first_per_id(batch, order_by, id_column).withColumn("__id", key)
-        known = read_if_present(batch.sparkSession, ids_root)
-        if known is not None:
-            earlier = known.where(F.col("batch").cast("long") < number).alias("k")
-            same = F.col("n.year").eqNullSafe(F.col("k.year")) & (F.col("n.__id") == F.col("k.__id"))
-            new = new.alias("n").join(earlier, same, "left_anti")
-        new = new.persist(StorageLevel.DISK_ONLY)
+        session = batch.sparkSession
+        first = first_per_id(batch, order_by, id_column).withColumn("__id", F.coalesce(F.col(id_column), F.lit("")))
+        if read_if_present(session, f"{taken}/batch={number}") is None:
+            first.write.mode("overwrite").parquet(f"{firsts}/batch={number}")
+            session.range(1).write.mode("overwrite").parquet(f"{taken}/batch={number}")
+        schema = T.StructType([*first.schema.fields, T.StructField("batch", T.IntegerType())])
+        session.conf.set(STATE_PROVIDER, ROCKS_DB)
+        session.conf.set(CHANGE_LOG, "true")
+        known = session.readStream.schema(schema).parquet(firsts).dropDuplicates(["year", "__id"])
         long_enough = rules.has_effective_length(F.col(text_column), min_effective_len)
-        number_column = F.lit(str(number)).alias("batch")
-        kept = new.where(long_enough).drop("__id").select("*", number_column)
-        write_dataset(kept, output, ("batch", "year"))
-        # Last, as Spark drops what it kept of a plan once a folder the plan reads is written.
-        write_dataset(new.select("year", "__id", number_column), ids_root, ("batch", "year"))
-        new.unpersist()
+        kept = known.where(long_enough).drop("__id")
+        (
+            kept.writeStream.format("parquet").outputMode("append").partitionBy("batch", "year")
+            .option("checkpointLocation", f"{checkpoint.rstrip('/')}/ids").trigger(availableNow=True)
+            .start(output).awaitTermination()
+        )
 
     return (
         stream.writeStream.foreachBatch(take)
@@ -163,28 +167,21 @@ def start_clean(
 def refresh_years(
     spark: SparkSession, ingested: str, cleaned: str, redo: bool = False, **options
 ) -> list[str]:
-    """Clean the years that are new or have grown, in exact file order.
+    """Clean the years that are new or have changed, in exact file order.
 
-    A year is cleaned as a whole and replaces its own partition only. How many
-    rows a year had is stored beside the result, below ``<cleaned>_ingested``:
-    a year whose ingested rows are still as many, and which the result holds,
-    is finished. With ``redo`` finished years are cleaned again. A run lost
-    before the counts are stored repeats its years. Returns the years treated.
+    A year is cleaned as a whole and replaces its own partition only. The manifest of its ingested
+    files is stored beside the result, below ``<cleaned>_ingested``: a year with the same files,
+    which the result holds, is finished; one with a file more, or another in place of one, is not.
+    With ``redo`` finished years are cleaned again. A run lost before the manifest is stored
+    repeats its years. Returns the years treated.
     """
-    raw = read_dataset(spark, ingested)
-    counts_root = f"{cleaned.rstrip('/')}_ingested"
-    # One row per year; the count of a Parquet partition comes from file footers.
-    rows = dict(raw.groupBy("year").agg(F.count(F.lit(1))).collect())
-    finished = set()
-    if not redo:
-        done, counts = read_if_present(spark, cleaned), read_if_present(spark, counts_root)
-        if done is not None and counts is not None:
-            stored = dict(counts.select("year", "ingested").collect())
-            finished = {year for year in years_in(done) if stored.get(year) == rows.get(year)}
-    years = sorted(set(rows) - finished)
+    stored = f"{cleaned.rstrip('/')}_ingested"
+    now = manifests.of_dataset(spark, ingested)
+    rows = [row["year"] for row in now.select("year").collect()]
+    done = set() if redo else manifests.finished(spark, now, stored, cleaned)
+    years = sorted(set(rows) - done)
     if years:
-        wanted = raw.where(F.col("year").isin(years))
+        wanted = read_dataset(spark, ingested, years)
         write_dataset(clean_postings(wanted, **options), cleaned)
-        taken = [(year, rows[year]) for year in years]
-        write_counts(spark.createDataFrame(taken, "year string, ingested long"), counts_root)
+        manifests.store(now, years, stored)
     return years
