@@ -70,34 +70,45 @@ def test_other_code_column(spark, mapping):
     assert row["onet_title"] == "T3"
 
 
-def test_salted_join_equals_broadcast_join(spark):
+def test_joins_with_and_without_broadcast_are_equal(spark):
     left = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot"))
-        .when(F.col("id") % 3 == 1, F.lit(None).cast("string"))
+        .when(F.col("id") % 6 == 1, F.lit(None).cast("string"))
+        .when(F.col("id") % 6 == 4, F.lit(" "))
         .otherwise((F.col("id") % 50).cast("string"))
         .alias("k"),
         "id",
     )
     right = spark.createDataFrame(
-        [("hot", 1), ("hot", 2), ("3", 3), ("zz", 4), (None, 5)], "code string, v int"
+        [("hot", 1), ("hot", 2), ("3", 3), ("zz", 4), (None, 5), (" ", 6), ("", 7)], "code string, v int"
     )
-    small = sizing.left_join(left, right, ("k", "code"))
-    large = sizing.left_join(left, right, ("k", "code"), max_bytes=0, salts=7)
-    assert small.columns == large.columns == ["k", "id", "code", "v"]
-    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
-    assert small.count() == 4000
+    small = sizing.left_join(left, sizing.dimension(right), ("k", "code"))
     assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
-    # Salting spreads the hot key over several tasks.
-    spread = large.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct()
+    plain = left.join(right, left.k == right.code, "left")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        assert spread.count() > 1
+        large = sizing.left_join(left, sizing.dimension(right, max_bytes=0), ("k", "code"))
+        assert "SortMergeJoin" in large._jdf.queryExecution().toString()
+        assert small.columns == large.columns == ["k", "id", "code", "v"]
+        for found in (small, large):
+            assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+        blank = large.where("k IS NULL OR k = ' '").select(F.spark_partition_id().alias("p")).distinct()
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert blank.count() > 1  # spread over several tasks
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_nothing_runs_while_a_crosswalk_is_planned(spark, mapping, detail):
+    df = matched(spark, ["1-01", ""])
+    spark.sparkContext.setJobGroup("planning", "planning")
+    crosswalk.add_crosswalk(df, mapping, detail)
+    crosswalk.join_report(df, mapping)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+
+
 def test_size_is_measured(spark):
     rows = spark.createDataFrame([("abc", 1, [1.0, 2.0])], "s string, n int, v array<double>")
     count, size = sizing.measure(rows)

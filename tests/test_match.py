@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from vocatio import fixed_values as fixed
-from vocatio.functions import models, vectors
+from vocatio.functions import blocks, models, vectors
 from vocatio.operators import dictionary as dictionaries
 from vocatio.operators import match as matching
-from vocatio.operators.match import MatchSettings
+from vocatio.operators.match import MatchSettings, add_candidates
 
 TEXT = "一二三四五六七八九十"
 
@@ -56,14 +56,55 @@ def test_empty_dictionary_and_missing_vectors(spark):
     assert search(spark, [[1, 0]], [None, [1, 0]], 3) == {0: [(1, 1.0)]}
 
 
+def block_search(spark, queries, keys, k, max_block_bytes):
+    held = blocks.build_blocks(vector_frame(spark, keys), max_block_bytes)
+    asked = vector_frame(spark, queries, "q").select(F.col("q").cast("long").alias("row"), F.col("embedding").alias("vector"))
+    rows = blocks.search_blocks(asked, held, k, max_block_bytes).collect()
+    return held, {r["row"]: [(c["occ_idx"], c["score"] + 0.0) for c in r["candidates"]] for r in rows}
+
+
 @pytest.mark.parametrize("max_block_bytes", [vectors.MAX_BLOCK_BYTES, 2000, 700])
 def test_search_equals_brute_force_for_any_blocking(spark, max_block_bytes):
     rng = np.random.default_rng(0)
     keys = rng.integers(-2, 3, (60, 6)).tolist()
     queries = rng.integers(-2, 3, (80, 6)).tolist()
-    found = search(spark, queries, keys, 7, max_block_bytes=max_block_bytes)
     expected = slow_search(queries, keys, 7)
-    assert {q: [(i, s + 0.0) for i, s in c] for q, c in found.items()} == expected
+    if max_block_bytes == vectors.MAX_BLOCK_BYTES:
+        found = search(spark, queries, keys, 7)
+        assert {q: [(i, s + 0.0) for i, s in c] for q, c in found.items()} == expected
+    else:
+        with pytest.raises(vectors.TooLarge):
+            search(spark, queries, keys, 7, max_block_bytes=max_block_bytes)
+    held, found = block_search(spark, queries, keys, 7, max_block_bytes)
+    assert found == expected
+    assert held.rows.count() > 60 * 6 * 8 // max_block_bytes
+
+
+def test_blocks_that_cannot_hold_better_entries_are_skipped(spark, monkeypatch):
+    """Clusters on a sphere: a vector meets few of the blocks, and no result is lost."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 16))
+    keys = [(c + rng.normal(scale=0.05, size=16)).tolist() for c in centres for _ in range(40)] + [[0.0] * 16]
+    queries = [(c + rng.normal(scale=0.05, size=16)).tolist() for c in centres for _ in range(5)] + [[0.0] * 16, None]
+    sent = []
+    met = blocks._met
+    monkeypatch.setattr(blocks, "_met", lambda rows, *more: (sent.append(rows.count()), met(rows, *more))[1])
+    held, found = block_search(spark, queries, keys, 5, 5000)
+    assert found == slow_search(queries[:-1], keys, 5) and len(found) == len(queries) - 1
+    n_blocks = held.rows.count()
+    assert n_blocks > 12 and sum(sent) < 0.6 * n_blocks * len(queries)
+
+
+def test_large_dictionaries_keep_every_posting(spark):
+    rng = np.random.default_rng(3)
+    keys = rng.normal(size=(50, 4)).tolist()
+    rows = [(i, "a text of some length" if i % 5 else "short", rng.normal(size=4).tolist() if i % 7 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, standardized_job_description string, embedding array<double>")
+    small = add_candidates(df, vector_frame(spark, keys), max_block_bytes=300)
+    whole = add_candidates(df, vector_frame(spark, keys))
+    assert small.columns == whole.columns
+    assert sorted(map(str, small.collect())) == sorted(map(str, whole.collect()))
+    assert add_candidates(df, vector_frame(spark, []), max_block_bytes=1).count() == 60
 
 
 def test_search_does_not_shuffle_the_postings(spark):

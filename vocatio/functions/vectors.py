@@ -75,32 +75,18 @@ def _best(indices: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray,
     return np.take_along_axis(indices, order, axis=1), np.take_along_axis(scores, order, axis=1)
 
 
-def _block_search(block, k: int):
-    """An Arrow UDF that merges one dictionary block into running candidates."""
+def _search(held, k: int):
+    """An Arrow UDF that finds the best entries of a broadcast dictionary."""
 
-    def search(vectors: pa.Array, running: pa.Array) -> pa.Array:
-        keys, matrix = block.value
+    def search(vectors: pa.Array) -> pa.Array:
+        keys, matrix = held.value
         present, queries = list_matrix(vectors)
         indices, scores = [np.empty(0)], [np.empty(0)]
-        width = 0
+        width = min(k, len(keys))
         for start in range(0, len(present), SCORE_ROWS):
             rows = unit_rows(queries[start : start + SCORE_ROWS])
-            held = running.take(pa.array(present[start : start + SCORE_ROWS])).flatten()
-            shape = (len(rows), len(held) // len(rows))
-            fresh = np.round(rows @ matrix.T, SCORE_DIGITS)
-            best_idx, best_score = _best(
-                np.hstack(
-                    [
-                        np.broadcast_to(keys, fresh.shape),
-                        held.field("occ_idx").to_numpy(zero_copy_only=False).reshape(shape),
-                    ]
-                ),
-                np.hstack(
-                    [fresh, held.field("score").to_numpy(zero_copy_only=False).reshape(shape)]
-                ),
-                k,
-            )
-            width = best_idx.shape[1]
+            found = np.round(rows @ matrix.T, SCORE_DIGITS)
+            best_idx, best_score = _best(np.broadcast_to(keys, found.shape), found, k)
             indices.append(best_idx.ravel())
             scores.append(best_score.ravel())
         values = pa.StructArray.from_arrays(
@@ -113,13 +99,17 @@ def _block_search(block, k: int):
         return list_column(len(vectors), present, np.full(len(present), width), values)
 
     @F.arrow_udf(CANDIDATE_TYPE)
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for vectors, running in batches:
-            yield search(vectors, running)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for vectors in batches:
+            yield search(vectors)
 
     return run
 
 
+class TooLarge(ValueError):
+    """A dictionary that is more than one block."""
+
+
 def bounded_blocks(dictionary: DataFrame, max_block_bytes: int) -> Iterator[pa.Table]:
     """Bring a dictionary to the driver in blocks of bounded size, one at a time.
 
@@ -146,15 +136,6 @@ def bounded_blocks(dictionary: DataFrame, max_block_bytes: int) -> Iterator[pa.T
             yield table
 
 
-def _unit_blocks(dictionary: DataFrame, max_block_bytes: int):
-    vectors = dictionary.select(
-        F.col("occ_idx").cast("int"), F.col("embedding").cast("array<double>")
-    ).where(F.col("embedding").isNotNull())
-    for table in bounded_blocks(vectors, max_block_bytes):
-        _, matrix = list_matrix(table["embedding"].combine_chunks())
-        yield table["occ_idx"].to_numpy(), unit_rows(matrix)
-
-
 def cosine_topk(
     vector: Column,
     dictionary: DataFrame,
@@ -163,16 +144,19 @@ def cosine_topk(
 ) -> Column:
     """The k nearest dictionary entries of a vector, as sorted (occ_idx, score).
 
-    ``dictionary`` has ``occ_idx`` and ``embedding``; give a stored or cached
-    one, as it is read more than once. It is broadcast, never joined, so the
-    postings are neither shuffled nor multiplied. A dictionary
-    beyond ``max_block_bytes`` is broadcast in blocks: each block's candidates
-    are merged into the running k best, which keeps the search exact for any
-    dictionary size. Null vectors give null; fewer than k entries give all.
+    ``dictionary`` has ``occ_idx`` and ``embedding``; give a stored or cached one, as it is
+    measured first. It is broadcast, never joined, so the postings are neither shuffled nor
+    multiplied. One beyond ``max_block_bytes`` raises ``TooLarge``; ``blocks.search_blocks`` is
+    for those. Null vectors give null; fewer than k entries give all.
     """
-    context = dictionary.sparkSession.sparkContext
-    none_yet = F.array().cast(CANDIDATE_TYPE)
-    found = F.when(vector.isNotNull(), none_yet)
-    for block in _unit_blocks(dictionary, max_block_bytes):
-        found = _block_search(context.broadcast(block), k)(vector, found)
-    return found
+    entries = dictionary.select(
+        F.col("occ_idx").cast("int"), F.col("embedding").cast("array<double>")
+    ).where(F.col("embedding").isNotNull())
+    rows, total_bytes = measure(entries)
+    if total_bytes > max_block_bytes:
+        raise TooLarge(f"the dictionary has {total_bytes} bytes, a block {max_block_bytes}")
+    if not rows:
+        return F.when(vector.isNotNull(), F.array().cast(CANDIDATE_TYPE))
+    table = entries.orderBy("occ_idx").toArrow()
+    held = table["occ_idx"].to_numpy(), unit_rows(list_matrix(table["embedding"].combine_chunks())[1])
+    return _search(dictionary.sparkSession.sparkContext.broadcast(held), k)(vector)

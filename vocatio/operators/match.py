@@ -13,9 +13,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vocatio import fixed_values as fixed
-from vocatio.functions import models, text as rules, vectors
-from vocatio.operators.dictionary import with_keywords
+from vocatio.functions import blocks, models, text as rules, vectors
+from vocatio.functions.answers import BATCH_TEXTS, answered
+from vocatio.operators.dictionary import fingerprint, with_keywords
 from vocatio.operators.sizing import left_join
+from vocatio.sources.folders import fresh_folder
 
 
 @dataclass(frozen=True)
@@ -47,10 +49,16 @@ def embed_postings(
     df: DataFrame,
     factory: Callable[[], models.Embed],
     settings: MatchSettings = MatchSettings(),
+    answers: tuple[str, str, int] | None = None,
 ) -> DataFrame:
-    """Add ``embedding``; invalid texts never reach the model."""
+    """Add ``embedding``; invalid texts never reach the model.
+
+    With ``answers``, a folder, the model's name and the texts per commit, vectors are kept there by text.
+    """
     text = posting_text(df, settings)
     valid_text = F.when(~rules.is_invalid_input(text), text)
+    if answers is not None:
+        return answered(df, valid_text, "embedding", lambda asked: models.embedded(asked, factory), *answers)
     return df.withColumn("embedding", models.embedded(valid_text, factory))
 
 
@@ -60,12 +68,23 @@ def add_candidates(
     settings: MatchSettings = MatchSettings(),
     max_block_bytes: int = vectors.MAX_BLOCK_BYTES,
 ) -> DataFrame:
-    """Add ``candidates``, the top-k dictionary entries of each valid posting."""
+    """Add ``candidates``, the top-k dictionary entries of each valid posting.
+
+    A dictionary of one block is broadcast and the postings stay where they are. A larger one is
+    searched by blocks; the postings are then stored once, as rows need a number that stays.
+    """
     text = posting_text(df, settings)
     vector = F.when(~rules.is_invalid_input(text), F.col("embedding"))
-    return df.withColumn(
-        "candidates", vectors.cosine_topk(vector, dictionary, settings.top_k, max_block_bytes)
-    )
+    try:
+        return df.withColumn("candidates", vectors.cosine_topk(vector, dictionary, settings.top_k, max_block_bytes))
+    except vectors.TooLarge:
+        held = blocks.build_blocks(dictionary, max_block_bytes)
+    path = fresh_folder(df.sparkSession, "numbered")
+    df.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = df.sparkSession.read.parquet(path)
+    asked = numbered.select(F.col("__row").alias("row"), vector.alias("vector"))
+    found = blocks.search_blocks(asked, held, settings.top_k, max_block_bytes)
+    return numbered.join(found.withColumnRenamed("row", "__row"), "__row", "left").select(*df.columns, "candidates")
 
 
 def candidate_rows(candidates: DataFrame, *keep: str) -> DataFrame:
@@ -83,12 +102,26 @@ def add_rerank_scores(
     dictionary: DataFrame,
     factory: Callable[[], models.Rerank],
     settings: MatchSettings = MatchSettings(),
+    answers: tuple[str, str, int] | None = None,
 ) -> DataFrame:
-    """Add ``rerank_scores`` where the best candidate is good enough to pay for it."""
+    """Add ``rerank_scores`` where the best candidate is good enough to pay for it.
+
+    With ``answers``, a folder, the model's name and the texts per commit, scores are kept there by
+    text and candidates.
+    """
     gate = max(settings.min_embed_score, settings.rerank_min_embed_score)
     eligible = F.try_element_at("candidates", F.lit(1))["score"] >= gate
     indices = F.when(eligible, F.transform("candidates", lambda c: c["occ_idx"]))
-    scores = models.reranked(posting_text(df, settings), indices, dictionary, factory)
+    text = posting_text(df, settings)
+    if answers is not None:
+        store, name, batch = answers
+        given = F.when(eligible, F.struct(text.alias("text"), indices.alias("indices")))
+        return answered(
+            df, given, "rerank_scores",
+            lambda pair: models.reranked(pair["text"], pair["indices"], dictionary, factory),
+            store, f"{name} {fingerprint(dictionary, name)}", batch,
+        )
+    scores = models.reranked(text, indices, dictionary, factory)
     return df.withColumn("rerank_scores", scores)
 
 
@@ -171,17 +204,21 @@ def match(
     settings: MatchSettings = MatchSettings(),
     embed: Callable[[], models.Embed] | None = None,
     rerank: Callable[[], models.Rerank] | None = None,
+    answers: str | None = None,
+    names: tuple[str, str] = ("embed", "rerank"),
+    answer_batch: int = BATCH_TEXTS,
 ) -> DataFrame:
     """Postings with the 14 match columns appended.
 
     Without ``embed`` the postings bring their own ``embedding`` column;
-    without ``rerank`` the best candidate is taken as it is.
+    without ``rerank`` the best candidate is taken as it is. In the folder
+    ``answers`` the models' answers are kept under their ``names``.
     """
     if embed is not None:
-        df = embed_postings(df, embed, settings)
+        df = embed_postings(df, embed, settings, answers and (answers, names[0], answer_batch))
     searched = add_candidates(df, dictionary, settings)
     if rerank is not None:
-        searched = add_rerank_scores(searched, dictionary, rerank, settings)
+        searched = add_rerank_scores(searched, dictionary, rerank, settings, answers and (answers, names[1], answer_batch))
     return decide(searched, dictionary, settings)
 
 

@@ -1,13 +1,13 @@
-"""Size checks before a broadcast, and the join used when they fail."""
+"""Sizes of dimensions, taken once when they are loaded, and the join that relies on them."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+SALTS = 64  # over which rows with a blank key are spread
 
-_SALT = "__salt"
+_SALT, _RIGHT_SALT = "__salt", "__right_salt"
 
 
 def _value_bytes(name: str, data_type: T.DataType) -> str:
@@ -30,38 +30,30 @@ def measure(df: DataFrame, *more: Column) -> tuple:
     return tuple(df.agg(F.count(F.lit(1)), total, *more).first())
 
 
-def small_enough(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    return measure(df)[1] <= max_bytes
+def dimension(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """A dimension as it is loaded, marked for broadcast if it was measured to be small.
+
+    The mark goes with everything derived from it by row, so that joins need no job of their own.
+    """
+    return F.broadcast(df) if measure(df)[1] <= max_bytes else df
 
 
-def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: tuple[str, str],
-    max_bytes: int = MAX_BROADCAST_BYTES,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Left equi-join on ``left.on[0] = right.on[1]``, safe for hot left keys.
+def left_join(left: DataFrame, right: DataFrame, on: tuple[str, str]) -> DataFrame:
+    """Left equi-join on ``left.on[0] = right.on[1]``; nothing runs while it is planned.
 
-    The right side is broadcast only after its size has been measured. Beyond
-    the bound the join shuffles on (key, salt): a hot left key is spread over
-    ``salts`` tasks by a hash of its whole row, and every right row is present
-    once per salt, so no row is lost or doubled. Blank and null keys, which
-    find no partner, are spread the same way. The join key of the right side
-    is kept, as in SQL.
+    A right side that ``dimension`` has marked is broadcast. Otherwise sizes at run time decide:
+    adaptive execution broadcasts what turns out to be small and splits the partitions of hot
+    keys. Rows with a null or blank key, which hardly find a partner, are spread by a salt; a
+    right row with a blank key is there for every salt. The right side's join key is kept, as in SQL.
     """
     left_key, right_key = on
-    condition = F.col(f"l.`{left_key}`") == F.col(f"r.`{right_key}`")
-    if small_enough(right, max_bytes):
-        return left.alias("l").join(F.broadcast(right).alias("r"), condition, "left")
-    hashable = [
-        F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, T.MapType)
-    ]
-    salted_left = left.withColumn(_SALT, F.pmod(F.xxhash64(*hashable), F.lit(salts)))
-    salted_right = right.withColumn(
-        "__right_salt",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))),
-    )
-    condition = condition & (F.col(_SALT) == F.col("__right_salt"))
-    joined = salted_left.alias("l").join(salted_right.alias("r"), condition, "left")
-    return joined.drop(_SALT, "__right_salt")
+    def blank(name: str) -> Column:
+        return F.coalesce(F.trim(F.col(f"`{name}`").cast("string")), F.lit("")) == ""
+
+    hashable = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.when(blank(left_key), F.pmod(F.xxhash64(*hashable), F.lit(SALTS))).otherwise(0)
+    salts = F.when(blank(right_key), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = left.withColumn(_SALT, spread.cast("int"))
+    matching = right.withColumn(_RIGHT_SALT, F.explode(salts))
+    condition = (F.col(f"l.`{left_key}`") == F.col(f"r.`{right_key}`")) & (F.col(_SALT) == F.col(_RIGHT_SALT))
+    return salted.alias("l").join(matching.alias("r"), condition, "left").drop(_SALT, _RIGHT_SALT)
