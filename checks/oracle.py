@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from checks import views
 from vocatio import fixed_values as fixed
-from vocatio.functions.text import prompt_texts
 
 
 def quoted(text: str) -> str:
@@ -290,9 +289,16 @@ def decision_ctes(
                             FROM jobs WHERE {key} IN
                               (SELECT {key} FROM top WHERE rank = 1 AND score >= {gate})""",
             "cand_words": f"SELECT occ_idx, list_distinct(string_split({text}, ' ')) AS b FROM occ",
-            "rr": f"""SELECT {key}, rank, occ_idx, score, round(len(list_intersect(a, b)) /
-                        len(list_distinct(list_concat(a, b))), 6) AS rr
-                      FROM top JOIN eligible USING ({key}) JOIN cand_words USING (occ_idx)""",
+            # Words of each text once, then candidates meet them by word: a join instead of list work per pair.
+            "text_words": f"SELECT {key}, len(a) AS n_words, unnest(a) AS word FROM eligible",
+            "task_words": "SELECT occ_idx, unnest(b) AS word FROM cand_words",
+            "shared_words": f"""SELECT t.{key}, t.occ_idx, count(*) AS shared
+                                FROM top t JOIN text_words w USING ({key}) JOIN task_words c USING (occ_idx, word)
+                                GROUP BY t.{key}, t.occ_idx""",
+            "rr": f"""SELECT t.{key}, t.rank, t.occ_idx, t.score, round(coalesce(s.shared, 0) /
+                        (len(e.a) + len(c.b) - coalesce(s.shared, 0)), 6) AS rr
+                      FROM top t JOIN eligible e USING ({key}) JOIN cand_words c USING (occ_idx)
+                        LEFT JOIN shared_words s ON s.{key} = t.{key} AND s.occ_idx = t.occ_idx""",
             "rr_best": f"""SELECT * FROM (SELECT *, row_number() OVER (
                              PARTITION BY {key} ORDER BY rr DESC, rank) AS n FROM rr) WHERE n = 1""",
         }
@@ -446,4 +452,23 @@ PART_OCCUPATIONS = f"""
                min(p_partkey) AS occ_idx, max(p_brand) AS brand
         FROM part GROUP BY 1, 2, 3)"""
 
-PROMPT_PREFIX = quoted("\n".join(prompt_texts()))
+# The whole prompt in front of a posting, written out so that a changed one is noticed.
+GOLDEN_PROMPT = """\
+你是"职业描述标准化"助手。请把输入的招聘职位描述改写成标准化职业描述，风格参考《职业分类大典2022》的 main_task：简洁、客观、任务导向。
+请把下面的职位描述标准化改写，要求：
+1) 仅保留"岗位职责/工作内容"，删除任职要求、福利、公司介绍、口号等；
+2) 不新增不存在的信息，不推断；保持原意与关键职责；
+3) 用中文输出，使用"1. …；2. …；3. …"格式，写出2-5条任务；
+4) 输出仅包含标准化职业描述文本，不要加解释、标题或其他内容；
+5) 只要存在明确的任务或职责描述，就必须抽取并输出；
+6) 如果输入为空或完全无法识别岗位职责，输出"无法识别"。
+
+以下是《职业分类大典2022》main_task 的标准表达示例（仅用于风格参考）：
+示例1：1.策划网站内容;2.组织网站稿件;3.运用信息发布系统或相关软件,制作网页;4.编辑网页内容;5.进行网站内容的检查、管理。
+示例2：1.使用功能测试用例等工具,测试计算机软件功能;2.使用性能测试用例等工具,进行计算机软件负载测试和压力测试;3.使用计算机及附属设备,测试计算机软件的稳定性、兼容性等参数;4.记录测试数据和案例;5.编写、制作测试报告。
+示例3：1.根据实际发生的经济业务或者事项进行会计核算;2.对单位的经济活动或者事项进行会计监督;3.制订单位的内部会计管理制度;4.分析、运用财务、业务等信息,服务单位规划、决策、控制、评价等工作。
+
+职位描述：
+"""
+
+PROMPT_PREFIX = quoted(GOLDEN_PROMPT)

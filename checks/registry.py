@@ -3,19 +3,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import oracle as sql, views
 from vocatio.functions import models, text as rules, vectors
-from vocatio.operators import clean, crosswalk, dictionary, quality, standardize
+from vocatio.operators import clean, crosswalk, dictionary, quality, sizing, standardize
 from vocatio.operators.match import MatchSettings, add_candidates, candidate_rows, match, match_counts
 from vocatio.plans import analytics
 from vocatio.plans.classify import Job, classify
 from vocatio.sources import datasets
 from vocatio.sources.folders import fresh_folder
+from vocatio.sources import postings as files
 from vocatio.sources.postings import read_postings
 from vocatio.streaming import arrivals
 
@@ -87,6 +89,16 @@ def year_from_name(spark, sf_dir):
     )
 
 
+@registered(sql.with_ctes(sql.CLEANING, CLEAN_STATS))
+def clean_counts_stored(spark, sf_dir):
+    """Counters as the command line keeps them: written by year, replaced year by year."""
+    root = fresh_folder(spark, "counts")
+    counts = clean.clean_counts(views.postings(spark, sf_dir), order_by=ORDER)
+    datasets.write_counts(counts, root)
+    datasets.write_counts(counts.where(F.col("year") > "2019"), root)
+    return datasets.read_dataset(spark, root)
+
+
 # --- text rules ---------------------------------------------------------------
 
 
@@ -280,6 +292,18 @@ def cosine_topk(spark, sf_dir):
     return candidate_rows(found, "doc_id")
 
 
+@registered(
+    sql.with_ctes(
+        {"jobs": sql.JOBS, "occ": sql.OCCUPATIONS, **sql.search_ctes()},
+        "SELECT doc_id, CAST(rank AS INTEGER) AS rank, CAST(occ_idx AS INTEGER) AS occ_idx, score FROM top",
+    )
+)
+def cosine_topk_blocks(spark, sf_dir):
+    """The same search with blocks of 16 KB: no task holds the dictionary whole."""
+    found = add_candidates(views.jobs(spark, sf_dir), _dictionary(spark, sf_dir), NEAR, 16 * 1024)
+    return candidate_rows(found, "doc_id")
+
+
 def _matched(spark, sf_dir, settings=NEAR, **options):
     return match(views.jobs(spark, sf_dir), _dictionary(spark, sf_dir), settings, **options)
 
@@ -337,8 +361,8 @@ def match_stats(spark, sf_dir):
 def _final(spark, sf_dir, details=True, best_only=False):
     return crosswalk.add_crosswalk(
         _matched(spark, sf_dir),
-        views.mapping(spark, sf_dir).cache(),
-        views.detail(spark, sf_dir).cache() if details else None,
+        views.mapping(spark, sf_dir),
+        views.detail(spark, sf_dir) if details else None,
         best_only=best_only,
     )
 
@@ -500,6 +524,119 @@ def csv_roundtrip(spark, sf_dir):
     )
 
 
+def _as_csv(df, path):
+    """A file of its own, such as a reference sheet."""
+    df.coalesce(1).write.options(header="true", quote='"', escape='"').csv(path)
+    return path
+
+
+@registered(sql.with_ctes(sql.CLEANING, TEXT_POSTINGS + "postings"))
+def csv_split_files(spark, sf_dir):
+    """One file per year whose cells hold line breaks, read by many tasks in ranges of 128 KB."""
+    folder = fresh_folder(spark, "csv")
+    datasets.write_csv(views.postings(spark, sf_dir).repartition("year"), folder)
+    ranges = spark.newSession()
+    ranges.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    ranges.conf.set("spark.sql.files.openCostInBytes", "128k")
+    return read_postings(ranges, f"{folder}/*/*.csv", year_from="folder").drop(*clean.ORDER_COLUMNS)
+
+
+@registered(sql.with_ctes(sql.CLEANING, TEXT_POSTINGS + "postings WHERE year IN ('2016', '2021')"))
+def yearly_files(spark, sf_dir):
+    """Two years found by the template of their names, lines of cells without breaks in mind or not."""
+    folder = fresh_folder(spark, "raw")
+    posted = views.postings(spark, sf_dir)
+    columns = [name for name in posted.columns if name != "year"]
+    for year in ("2016", "2019", "2021"):
+        of_year = posted.where(F.col("year") == year).select(*columns)
+        of_year.write.options(
+            header="true", quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        ).csv(files.input_path(folder, year))
+    paths = [files.input_path(folder, year) for year in ("2016", "2021")]
+    return read_postings(spark, paths, year_from="folder").drop(*clean.ORDER_COLUMNS)
+
+
+MALFORMED = {
+    "postings": sql.POSTINGS,
+    "good": "SELECT * FROM postings WHERE ord % 7 <> 3",
+    "firsts": sql.FIRSTS.replace("FROM postings", "FROM good"),
+    "bad": "SELECT year, count(*) AS quarantined FROM postings WHERE ord % 7 = 3 GROUP BY year",
+    "counts": f"""SELECT year, count(*) AS firsts, count(*) FILTER ({sql.EFFECTIVE_LEN} >= 30) AS kept
+                  FROM firsts GROUP BY year""",
+}
+
+
+@registered(
+    sql.with_ctes(
+        MALFORMED,
+        """SELECT year, total, kept, CAST(good - firsts AS BIGINT) AS dropped_dup,
+                  CAST(firsts - kept AS BIGINT) AS dropped_short, coalesce(quarantined, 0) AS quarantined
+           FROM counts JOIN (SELECT year, count(*) AS total FROM postings GROUP BY 1) USING (year)
+             JOIN (SELECT year, count(*) AS good FROM good GROUP BY 1) USING (year) LEFT JOIN bad USING (year)""",
+    )
+)
+def malformed_rows(spark, sf_dir):
+    """A seventh of the rows has a cell too many: one pass stores all rows, and all are accounted for."""
+    folder, store = fresh_folder(spark, "csv"), fresh_folder(spark, "postings")
+    columns = ["ord", "rec_id", "position_responsibilities", "origin"]
+    posted = views.postings(spark, sf_dir)
+    cells = F.to_csv(F.struct(*columns), {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    line = F.concat(cells, F.when(F.col("ord") % 7 == 3, ",one more").otherwise(""))
+    lines = posted.select("year", F.lit(1).alias("n"), "ord", line.alias("value"))
+    header = posted.select("year").distinct().select("year", F.lit(0), F.lit(0), F.lit(",".join(columns)))
+    ordered = lines.union(header).repartition("year").sortWithinPartitions("year", "n", "ord")
+    ordered.select("year", "value").write.partitionBy("year").text(folder)
+    files.ingest_postings(spark, f"{folder}/*/*.txt", store, year_from="folder")
+    counts = clean.clean_counts(files.ingested(spark, store))
+    bad = files.quarantined(spark, store).groupBy("year").agg(F.count("bad_record").alias("quarantined"))
+    found = counts.join(bad, "year", "left").fillna(0, ["quarantined"])
+    return found.select(
+        "year", (F.col("total") + F.col("quarantined")).alias("total"), "kept", "dropped_dup", "dropped_short", "quarantined"
+    )
+
+
+@registered(
+    sql.with_ctes(
+        {"mapping": sql.MAPPING, "detail": sql.DETAIL},
+        """SELECT dadian_code, onet_code, onet_title, similarity_score, confidence, Description AS description,
+                  All_Tasks AS tasks FROM mapping LEFT JOIN detail ON soc = onet_code""",
+    )
+)
+def reference_tables(spark, sf_dir):
+    """Crosswalk and details written as sheets and loaded from them."""
+    folder = fresh_folder(spark, "sheets")
+    mapping = files.read_mapping(spark, _as_csv(views.mapping(spark, sf_dir), f"{folder}/mapping.csv"))
+    detail = files.read_reference_table(spark, _as_csv(views.detail(spark, sf_dir), f"{folder}/detail.csv"))
+    joined = sizing.left_join(sizing.dimension(mapping), sizing.dimension(detail), ("onet_code", "O*NET-SOC Code"))
+    return joined.select(
+        "dadian_code", "onet_code", "onet_title", "similarity_score", "confidence",
+        F.col("Description").alias("description"), F.col("All_Tasks").alias("tasks"),
+    )
+
+
+@registered(
+    sql.with_ctes(
+        {"entries": sql.PART_OCCUPATIONS},
+        f"""SELECT CAST(row_number() OVER (ORDER BY occ_idx) - 1 AS INTEGER) AS occ_idx, Level4_Name, Level2_Code,
+                   {sql.joined_text('Level4_Name', 'main_task')} AS occupation_text FROM entries""",
+    )
+)
+def dictionary_sheet(spark, sf_dir):
+    """The dictionary loaded from its sheet, numbered in file order."""
+    sheet = views.part_occupations(spark, sf_dir).orderBy("occ_idx").drop("occ_idx")
+    path = _as_csv(sheet, fresh_folder(spark, "sheet"))
+    entries = dictionary.prepare_dictionary(files.read_occupations(spark, path))
+    return entries.select("occ_idx", "Level4_Name", "Level2_Code", "occupation_text")
+
+
+@registered(sql.with_ctes(sql.CLEANING, "SELECT year, rec_id, ord FROM clean ORDER BY year, ord, rec_id LIMIT 50"))
+def first_rows(spark, sf_dir):
+    """The first rows in an explicit order, as for a smoke run; the spot check sees as many."""
+    cleaned = clean.clean_postings(views.postings(spark, sf_dir), order_by=ORDER)
+    first = analytics.first_rows(cleaned, ("year", "ord", "rec_id"), 50)
+    return analytics.spot_check(first, ["year", "rec_id", "ord"], 50)
+
+
 # --- incremental arrival ------------------------------------------------------
 
 
@@ -555,6 +692,28 @@ def late_arrivals(spark, sf_dir):
     return datasets.read_dataset(spark, out).drop(*clean.ORDER_COLUMNS)
 
 
+REPLACED = {
+    "before": sql.POSTINGS,
+    "postings": """SELECT ord, CASE WHEN year = '2019' THEN 'new ' || rec_id ELSE rec_id END AS rec_id,
+                     position_responsibilities, year, origin FROM before""",
+    "firsts": sql.FIRSTS,
+    "clean": sql.CLEAN,
+}
+
+
+@registered(sql.with_ctes(REPLACED, "SELECT * FROM clean"))
+def replaced_file(spark, sf_dir):
+    """The files of a finished year are replaced by others with as many rows: the year is cleaned again."""
+    raw, out = fresh_folder(spark, "raw"), fresh_folder(spark, "out")
+    posted = views.postings(spark, sf_dir)
+    datasets.write_dataset(posted, raw)
+    arrivals.refresh_years(spark, raw, out, order_by=ORDER)
+    renamed = posted.where("year = '2019'").withColumn("rec_id", F.concat(F.lit("new "), "rec_id"))
+    datasets.write_dataset(renamed, raw)
+    arrivals.refresh_years(spark, raw, out, order_by=ORDER)
+    return datasets.read_dataset(spark, out)
+
+
 @registered(sql.with_ctes(sql.match_ctes(min_score=0.5), "SELECT * FROM matched"))
 def match_resumable(spark, sf_dir):
     """Matching in micro-batches of stored files, each committed on its own."""
@@ -634,8 +793,8 @@ def _job(spark, sf_dir):
         dictionary=dictionary.embedded_dictionary(
             entries, lambda: models.letter_profile()
         ).cache(),
-        mapping=views.mapping(spark, sf_dir).cache(),
-        detail=views.detail(spark, sf_dir).cache(),
+        mapping=views.mapping(spark, sf_dir),
+        detail=views.detail(spark, sf_dir),
         embed=lambda: models.letter_profile(),
         rerank=lambda: models.word_overlap(),
         settings=MatchSettings(
@@ -655,3 +814,32 @@ def classify_stored(spark, sf_dir):
     """The same, with every stage written and read back."""
     store = fresh_folder(spark, "stages")
     return classify(views.postings(spark, sf_dir), _job(spark, sf_dir), store=store)
+
+
+def _letters_until(mark):
+    """The stand-in embedding, lost at the first text whose hash begins with ``mark``."""
+
+    def factory():
+        embed = models.letter_profile()
+
+        def run(texts):
+            if any(hashlib.md5(text.encode()).hexdigest().startswith(mark) for text in texts):
+                raise RuntimeError("model lost")
+            return embed(texts)
+
+        return run
+
+    return factory
+
+
+@registered(sql.with_ctes(CLASSIFIED, "SELECT * FROM final"))
+def classify_resumed(spark, sf_dir):
+    """The embedding model is lost in the middle; the second run asks only what has no answer yet."""
+    store, job = fresh_folder(spark, "stages"), _job(spark, sf_dir)
+    posted = views.postings(spark, sf_dir)
+    try:
+        classify(posted, replace(job, embed=_letters_until("ff"), answer_batch=100), store=store)
+    except Exception as lost:  # the model's own error comes through Spark
+        if "model lost" not in str(lost):
+            raise
+    return classify(posted, job, store=store)

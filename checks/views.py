@@ -164,7 +164,7 @@ def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as standardized postings, each with a vector."""
     vectors = table(spark, sf_dir, "embeddings")
-    count = vectors.count()
+    count = vectors.agg(F.count(F.lit(1))).scalar()
     return (
         table(spark, sf_dir, "documents")
         .select(
@@ -194,7 +194,10 @@ def onet_code(number: Column, family: Column) -> Column:
 
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (brand, type) of all parts; some codes have two partners."""
+    """One row per (brand, type) of all parts; some codes have two partners.
+
+    There are 25 brands of 6 types, so the table is marked for broadcast unmeasured.
+    """
     brand, kind = _brand_and_type()
     grouped = (
         table(spark, sf_dir, "part")
@@ -207,26 +210,28 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = [label % 8 + 1] + [
         F.lpad(p.cast("string"), 2, "0") for p in (bucket % 4 + 1, label + 1, bucket + 1)
     ]
-    return grouped.select(
+    found = grouped.select(
         F.concat_ws("-", *[p.cast("string") for p in padded]).alias("dadian_code"),
         onet_code(n, t).alias("onet_code"),
         F.concat(F.col("name"), F.lit(" "), n.cast("string")).alias("onet_title"),
         F.round(F.col("price") / 2000, 6).alias("similarity_score"),
         F.when(F.col("price") > 1000, "high").otherwise("low").alias("confidence"),
     )
+    return F.broadcast(found)
 
 
 def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Descriptions per nation that has suppliers; most codes have none."""
+    """Descriptions per nation that has suppliers, 25 rows at most; most codes have none."""
     suppliers = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(
         F.count(F.lit(1)).alias("suppliers")
     )
     nations = table(spark, sf_dir, "nation")
-    return nations.join(suppliers, nations.n_nationkey == suppliers.s_nationkey).select(
+    found = nations.join(suppliers, nations.n_nationkey == suppliers.s_nationkey).select(
         onet_code(F.col("n_nationkey") + 1, F.col("n_regionkey")).alias("O*NET-SOC Code"),
         F.col("n_name").alias("Description"),
         F.concat(F.lit("tasks "), F.col("suppliers").cast("string")).alias("All_Tasks"),
     )
+    return F.broadcast(found)
 
 
 def part_occupations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,7 +94,6 @@ ID_COLUMN = "rec_id"
 TEXT_COLUMN = "position_responsibilities"
 STANDARDIZED_COLUMN = "standardized_job_description"
 RAW_FILE_TEMPLATE = "recruitment_infos_content_{year}.csv"
-CLEAN_FILE_TEMPLATE = "recruitment_infos_content_{year}_step1_clean.csv"
 FINAL_FILE_TEMPLATE = "{year}_final.parquet"
 
 LEVEL_CODE_COLUMNS = ["Level1_Code", "Level2_Code", "Level3_Code", "Level4_Code"]
