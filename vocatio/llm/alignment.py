@@ -17,9 +17,12 @@ blank; workers remember the tokens of cells. A document without such places is o
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ from vocatio.llm.tables import once_per_worker, stored
 RANGE_CHARS = 64_000  # longer documents are cut into ranges of about this size
 FAN = 16  # neighbouring fragments composed in a round
 CELL_CHARS = 48  # longer cells are not remembered
-KNOWN_CELLS = 200_000  # cells a worker remembers; more cost time only
+KNOWN_CELLS = 250_000  # cells a worker remembers, twice over; more cost time only
 MOST_BROADCAST = 1_000_000  # distinct pairs of ids, 16 bytes each; with more of them counts are shuffled
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -69,20 +72,37 @@ class Fragment:
     sound: bool = True  # whether the tokens' bytes were those of the text
 
 
+def closed_groups(a: list[int], a_bytes: list[int], b: list[int], b_bytes: list[int]) -> tuple[list[str], list[int]]:
+    """Groups and linked pairs of a stretch between common borders, in one walk over both sides."""
+    groups: list[str] = []
+    pairs: list[int] = []
+    if not a or not b:
+        return groups, pairs
+    i = j = 0
+    a_end, b_end, left, right = a_bytes[0], b_bytes[0], str(a[0]), str(b[0])
+    while True:
+        pairs.append(a[i] << 32 | b[j])
+        if a_end == b_end:
+            groups.append(f"{left}|{right}")
+            i, j = i + 1, j + 1
+            if i == len(a) or j == len(b):
+                return groups, pairs
+            a_end, b_end, left, right = a_end + a_bytes[i], b_end + b_bytes[j], str(a[i]), str(b[j])
+        elif a_end < b_end:
+            i += 1
+            if i == len(a):
+                return groups, pairs
+            a_end, left = a_end + a_bytes[i], f"{left},{a[i]}"
+        else:
+            j += 1
+            if j == len(b):
+                return groups, pairs
+            b_end, right = b_end + b_bytes[j], f"{right},{b[j]}"
+
+
 def group_links(group: Open) -> dict[int, int]:
     """How often each pair of ids overlaps in a group."""
-    found: dict[int, int] = {}
-    i = j = a_end = b_end = 0
-    while i < len(group.a) and j < len(group.b):
-        pair = group.a[i] << 32 | group.b[j]
-        a_stop, b_stop = a_end + group.a_bytes[i], b_end + group.b_bytes[j]
-        if a_stop > b_end and b_stop > a_end:
-            found[pair] = found.get(pair, 0) + 1
-        if a_stop <= b_stop:
-            i, a_end = i + 1, a_stop
-        if b_stop <= a_stop:
-            j, b_end = j + 1, b_stop
-    return found
+    return Counter(closed_groups(group.a, group.a_bytes, group.b, group.b_bytes)[1])
 
 
 def group_text(group: Open) -> str:
@@ -175,20 +195,41 @@ def _byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def byte_level(path: str):
+    """Ids of a text by a byte-level vocabulary, and the bytes of each id.
+
+    Where ids follow the order of merges, as in this family, the vocabulary serves as ranks of a
+    faster encoder; special tokens' strings are ordinary text either way.
+    """
+    import tiktoken
+    from public_tokenizers import PATTERN
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    symbols = _byte_of_symbol()
+    bytes_of = [b""] * (1 + max(model["vocab"].values()))
+    for token, k in model["vocab"].items():
+        bytes_of[k] = bytes(symbols[c] for c in token) if all(c in symbols for c in token) else b""
+    if {bytes([k]) for k in range(256)} - set(bytes_of):
+        raise ValueError("a byte has no token of its own, so a text may not be spelled")
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    if all(model["vocab"][token] == 256 + i for i, token in enumerate(merged)):
+        ranks = {spelled: k for k, spelled in enumerate(bytes_of) if spelled}
+        encoder = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return encoder.encode_ordinary, bytes_of
+    slow = Tokenizer.from_file(path)
+    slow.encode_special_tokens = True
+    return (lambda text: slow.encode(text, add_special_tokens=False).ids), bytes_of
+
+
 class Pair:
     """Both tokenizers of a worker, and the cells it remembers."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.first = Tokenizer.from_file(a_path)
-        self.first.encode_special_tokens = True  # their strings in a text are ordinary text
-        symbols = _byte_of_symbol()
-        size = self.first.get_vocab_size()
-        self.a_bytes = [b""] * size
-        for token, k in self.first.get_vocab().items():
-            self.a_bytes[k] = bytes(symbols[c] for c in token) if all(c in symbols for c in token) else b""
+
+        self.first, self.a_bytes = byte_level(a_path)
         self.second = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.second.id_to_piece(k) for k in range(self.second.get_piece_size())]
         if any("▁" in piece.lstrip("▁") or "\n" in piece for piece in pieces):
@@ -197,35 +238,46 @@ class Pair:
             bytes([int(piece[3:5], 16)]) if self.second.is_byte(k) else piece.replace("▁", " ").encode()
             for k, piece in enumerate(pieces)
         ]
+        self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
         self.long: list[str] = []  # known for the moment only
 
     def tokens(self, cells: list[str]) -> list[tuple[list[int], list[int], bool]]:
-        """Ids of both sides for each cell, which starts with a blank or line end, and whether all bytes agree."""
-        a = [e.ids for e in self.first.encode_batch(cells, add_special_tokens=False)]
-        # The second tokenizer adds a blank: before a line end it is taken off again.
+        """Ids of both sides for each cell, which starts with a blank or line end, and whether the second spells it."""
+        a = map(self.first, cells)
+        # The second tokenizer adds a blank of its own: before a line end it is taken off again.
         b = self.second.encode([c[1:] if c[0] == " " else c for c in cells], num_threads=1)
         found = []
         for cell, of_a, of_b in zip(cells, a, b):
             if cell[0] != " ":
                 of_b = of_b[1:]
-            data = cell.encode("utf-8", "surrogatepass")
-            sound = b"".join([self.a_bytes[k] for k in of_a]) == data == b"".join([self.b_bytes[k] for k in of_b])
-            found.append((of_a, of_b, sound))
+            found.append((of_a, of_b, b"".join([self.b_bytes[k] for k in of_b]) == cell.encode("utf-8", "surrogatepass")))
         return found
 
     def fragment(self, a: list[int], b: list[int], sound: bool) -> Fragment:
         if not sound:
             return Fragment(sound=False)
-        return fragment_of(a, [len(self.a_bytes[k]) for k in a], b, [len(self.b_bytes[k]) for k in b])
+        return fragment_of(a, [self.a_size[k] for k in a], b, [self.b_size[k] for k in b])
 
     def learn(self, cells: set[str]) -> None:
-        """Remembers cells as closed wholes: groups, and pairs with their links."""
-        new = sorted(cells)
+        """Makes cells known as closed wholes: numbers of tokens and groups, groups, linked pairs, soundness.
+
+        Cells in use outlive those that are not: a full memory becomes the older one.
+        """
+        if len(self.known) > KNOWN_CELLS:
+            self.known, self.older = {}, self.known
+        new = []
+        for cell in cells.difference(self.known):
+            if (held := self.older.get(cell)) is not None:
+                self.known[cell] = held
+            else:
+                new.append(cell)
         for cell, (a, b, sound) in zip(new, self.tokens(new)):
-            whole = finished(self.fragment(a, b, sound))
-            links = whole.links
-            self.known[cell] = (len(a), len(b), whole.n_groups, whole.groups, tuple(links), tuple(links.values()), sound)
+            if not sound:
+                a = b = []
+            groups, pairs = closed_groups(a, [self.a_size[k] for k in a], b, [self.b_size[k] for k in b])
+            self.known[cell] = (len(a), len(b), len(groups), ";".join(groups), pairs, sound)
             if len(cell) > CELL_CHARS:
                 self.long.append(cell)
 
@@ -342,25 +394,20 @@ def _short(a_path: str, b_path: str):
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
                 texts = [cells_of(t) if t else [] for t in part.column("text").to_pylist()]
-                if len(pair.known) > KNOWN_CELLS:
-                    pair.known = {}
-                pair.learn({cell for cells in texts for cell in cells}.difference(pair.known))
+                pair.learn(set().union(*texts))
                 known, n_a, n_b, n_groups, groups, pairs, n_links, bounds = pair.known, [], [], [], [], [], [], [0]
                 for cells in texts:
                     found = [known[cell] for cell in cells]
-                    if not all(f[6] for f in found):
+                    if not all([f[5] for f in found]):
                         found = []
                     n_a.append(sum([f[0] for f in found]))
                     n_b.append(sum([f[1] for f in found]))
                     n_groups.append(sum([f[2] for f in found]))
                     groups.append(";".join([f[3] for f in found]))
-                    flat, n = [], []
-                    for f in found:
-                        flat += f[4]
-                        n += f[5]
-                    ids, place = np.unique(np.array(flat, np.int64), return_inverse=True)
+                    flat = np.array(list(chain.from_iterable([f[4] for f in found])), np.int64)
+                    ids, n = np.unique(flat, return_counts=True)
                     pairs.append(ids)
-                    n_links.append(np.bincount(place, np.array(n, np.float64), len(ids)).astype(np.int32))
+                    n_links.append(n.astype(np.int32))
                     bounds.append(bounds[-1] + len(ids))
                 for cell in pair.long:
                     known.pop(cell, None)
