@@ -14,13 +14,15 @@ one row in the table of commits, written last; what a lost driver left behind is
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vocatio.llm.words import mix
+from vocatio.llm.words import column_bytes, mix
 
 SHARDS = 64  # per index; a task holds the digests of one shard, 8 bytes each
 SLOTS = 4  # marks per bucket
@@ -102,12 +104,31 @@ class CuckooFilter:
 
 # --- tasks over shards ---------------------------------------------------------------
 
-DIGEST = "xxhash64(text)"
-_LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_EVENTS = "shard int, digest long, event string"
 _STATE = "shard int, digest long, marks binary"
 
 
+def first_bytes(text: bytes, sha: bytes) -> int:
+    """The digest of a normalised text: the first eight bytes of its SHA-256."""
+    return int.from_bytes(sha[:8], "little", signed=True)
+
+
+def _normalised(digest: Callable[[bytes, bytes], int], with_text: bool):
+    def rows(batches):
+        for batch in batches:
+            texts = [text.lower() for text in column_bytes(batch.column("text"))]  # of bytes: A-Z only
+            hashes = [hashlib.sha256(text) for text in texts]
+            found = [pa.array([digest(t, h.digest()) for t, h in zip(texts, hashes)], pa.int64()),
+                     pa.array([h.hexdigest() for h in hashes], pa.string())]
+            if with_text:
+                yield pa.RecordBatch.from_arrays(
+                    [*found, pa.array(texts, pa.binary()).cast(pa.string())], names=["digest", "sha", "text"]
+                )
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *found], names=["doc_id", "digest", "sha"])
+
+    return rows
+
+
 def _combined(batches):
     """Each digest twice at most per batch of rows, so that a hot one is few events and a repeated one still hits."""
     for batch in batches:
@@ -168,14 +189,14 @@ def _through_filter(events: pa.Table, state: pa.Table) -> pa.Table:
 class DigestIndex:
     """The live documents of a folder, grouped by equal content.
 
-    Texts are equal when identical after ``normal`` (A-Z lower-cased); null counts as empty. A
+    Texts are equal when identical after lower-casing A-Z; null counts as empty. A
     group's largest doc_id stays. Rows with a null doc_id are in their text's group but never the
     one that stays; a group of only such rows keeps none. Rows that share doc_id and text count
     each and stay together; a doc_id with several texts is in several groups. Other columns are
     left out; empty batches and an empty index are fine.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, shards: int = SHARDS, digest: str = DIGEST):
+    def __init__(self, spark: SparkSession, folder: str, shards: int = SHARDS, digest=first_bytes):
         self.spark, self.folder, self.shards, self.digest = spark, folder.rstrip("/"), shards, digest
         self.commits: list[tuple[int, str, str]] = []  # batch, folder, kind
 
@@ -233,34 +254,30 @@ class DigestIndex:
     def _shard(self) -> Column:
         return F.pmod(F.col("digest"), F.lit(self.shards)).cast("int")
 
-    def _keyed(self, docs: DataFrame) -> DataFrame:
-        text = F.translate(F.coalesce("text", F.lit("")), *_LOWER)
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn(
-            "digest", F.expr(self.digest)
-        )
+    def _keyed(self, docs: DataFrame, with_text: bool) -> DataFrame:
+        """doc_id, digest, sha of each row, or digest, sha and normalised text."""
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        schema = "digest long, sha string, text string" if with_text else "doc_id long, digest long, sha string"
+        return docs.mapInArrow(_normalised(self.digest, with_text), schema)
 
     # Changes.
 
     def insert(self, docs: DataFrame) -> None:
         """Takes a batch of documents in."""
         batch, path = self._attempt()
-        rows = self._keyed(docs)
-        members = self._written(
-            rows.select("doc_id", "digest", F.sha2("text", 256).alias("sha"), F.lit(batch).alias("batch")), f"{path}/members"
-        )
+        members = self._written(self._keyed(docs, False).withColumn("batch", F.lit(batch)), f"{path}/members")
         events = members.select("digest").mapInArrow(_combined, "digest long")
         events = events.select(self._shard().alias("shard"), "digest", F.lit("arrive").alias("event"))
         hits = self._filtered(events, path)
         # Content of the digests that hit: once per task before it travels. All others travel once, to their shard.
-        sha = F.sha2("text", 256).alias("sha")
+        rows = self._keyed(docs, True)
         if hits.count() <= MOST_BROADCAST:
             hits = F.broadcast(hits)
-            of_hits = rows.join(hits, "digest", "left_semi").select("digest", "text").distinct()
-            others = rows.join(hits, "digest", "left_anti").select("digest", "text")
+            met = rows.join(hits, "digest", "left_semi").distinct()
+            others = rows.join(hits, "digest", "left_anti")
         else:
-            texts = rows.select("digest", "text").distinct()
-            of_hits, others = texts.join(hits, "digest", "left_semi"), texts.join(hits, "digest", "left_anti")
-        met = of_hits.select("digest", sha, "text")
+            texts = rows.distinct()
+            met, others = texts.join(hits, "digest", "left_semi"), texts.join(hits, "digest", "left_anti")
         live = self._contents().join(hits, "digest", "left_semi").select("digest", "sha", "home", F.col("text").alias("before"))
         checked = F.when(F.col("home").isNull(), F.lit(batch)).when(
             F.col("text") == F.col("before"), F.col("home")
@@ -269,7 +286,7 @@ class DigestIndex:
         verified = self._written(verified, f"{path}/verified")
         self._written(verified.select("digest", "sha", "home"), f"{path}/assigned")
         new = verified.filter(F.col("home") == batch).select("digest", "sha", "home", "text")
-        new = new.unionByName(others.select("digest", sha, F.lit(batch).alias("home"), "text"))
+        new = new.unionByName(others.select("digest", "sha", F.lit(batch).alias("home"), "text"))
         new = new.select(self._shard().alias("shard"), "digest", "sha", "home", "text")
         self._written(new.repartition(self.shards, "shard"), f"{path}/contents")
         self._commit(batch, path, "insert")
