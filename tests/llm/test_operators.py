@@ -117,6 +117,56 @@ def test_languages_of_held_out_documents(spark, odd, empty, docs):
     assert {r["lang_pred"] for r in language_id.fit_and_identify(odd).collect()} == {"und"}  # no labels
 
 
+def test_pooled_scores_equal_a_loop_over_positions(spark):
+    """Words of all lengths, scripts without blanks, more than four languages."""
+    draw = random.Random(4)
+    letters = {"aa": "abcde ", "bb": "fghij ", "cc": "日本語中国 ", "dd": "klmno ", "ee": "абвгд ", "ff": "pqrst "}
+    text = lambda lang, n: "".join(draw.choice(letters[lang]) for _ in range(n))
+    rows = [(i, text(lang, draw.randint(30, 200)), lang) for i, lang in enumerate(sorted(letters) * 12)]
+    rows += [(1000, "日本語" * 40, "cc"), (1001, "abcde" * 30 + " fghij", None), (1002, "x", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language_id.fit(frame)
+    assert net.langs == sorted(letters)
+    found = {r["doc_id"]: r for r in language_id.identify(frame, net).collect()}
+
+    def slow(data):
+        """Each part of each word alone, one position after another."""
+        sums, n = np.zeros(len(net.langs)), 0
+        for word in data.split():
+            at = 0
+            while at < len(word):
+                end = min(len(word), at + 32)
+                while end < len(word) and word[end] & 0xC0 == 0x80:
+                    end -= 1
+                part, size = word[at:end], net.states.shape[1]
+                states = []
+                for way in (0, 1):
+                    h, row = np.zeros(size), {}
+                    for t in range(len(part)) if way == 0 else reversed(range(len(part))):
+                        x, g = net.inputs[way][part[t]].astype(float), h @ net.states[way]
+                        r, z = (1 / (1 + np.exp(-(x[k : k + size] + g[k : k + size]))) for k in (0, size))
+                        c = np.tanh(x[2 * size :] + r * g[2 * size :])
+                        h = row[t] = (1 - z) * c + z * h
+                    states.append(row)
+                for t in range(len(part)):
+                    p = np.exp(np.concatenate([states[0][t], states[1][t]]) @ net.out + net.bias)
+                    sums, n = sums + p / p.sum(), n + 1
+                at = end
+        return sums / n
+
+    for i, data, _ in rows:
+        expected = slow(data.encode())
+        assert np.allclose(found[i]["probabilities"], expected, atol=1e-4)
+        assert found[i]["lang_pred"] == net.langs[int(np.argmax(found[i]["probabilities"]))]
+    assert sum(found[i]["lang_pred"] == lang for i, _, lang in rows if lang) / (len(rows) - 2) > 0.9
+    assert language_id.pieces_of("é".encode() * 40) == ["é".encode() * 16] * 2 + ["é".encode() * 8]
+    sample = [(lang, data) for _, data, lang in rows if lang]
+    least = language_id.least_score(net, sample)
+    assert 1 / 6 < least < min(found[i]["score"] for i, _, lang in rows if lang) + 0.2
+    kept = {r["doc_id"] for r in language_id.keep_identified(frame, net, least).collect()}
+    assert len(kept & set(range(72))) >= 71
+
+
 # --- 2 ------------------------------------------------------------------------
 
 
@@ -180,6 +230,75 @@ def test_near_duplicates_just_below_the_similarity(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
 
 
+def test_similar_sets_meet_in_a_file_of_their_rarest_shingles():
+    draw = np.random.default_rng(8)
+    common = draw.integers(1, 1 << 62, 4000, dtype=np.uint64)
+    starts = near_duplicates._band_starts()
+    for percent in (60, 85, 95):
+        for _ in range(60):
+            n = int(draw.integers(1, 400))
+            base = draw.choice(common, n, replace=False)
+            sets = [np.unique(base)]
+            for share in (0.01, 0.04, 0.1, 0.2):
+                kept = base[draw.random(n) >= share]
+                own = draw.integers(1, 1 << 62, int(draw.integers(0, max(1, int(share * n)) + 1)), dtype=np.uint64)
+                sets.append(np.unique(np.concatenate([kept, own])))
+            sets = [s for s in sets if len(s)]
+            slots = (np.concatenate(sets) % np.uint64(near_duplicates.SLOTS)).astype(np.int64)
+            counters = np.bincount(slots, minlength=near_duplicates.SLOTS)
+            files = []
+            for s in sets:
+                keys, places, sides = (x.tolist() for x in near_duplicates.files_of(s, counters, percent, starts))
+                files.append({k: (p, side) for k, p, side in zip(keys, places, sides)})
+            for a in range(len(sets)):
+                for b in range(a):
+                    shared = len(np.intersect1d(sets[a], sets[b]))
+                    if 100 * shared < percent * (len(sets[a]) + len(sets[b]) - shared):
+                        continue
+                    bound = [
+                        min(len(sets[a]) - files[a][k][0], len(sets[b]) - files[b][k][0])
+                        for k in files[a].keys() & files[b].keys()
+                        if files[a][k][1] == 0 or files[a][k][1] != files[b][k][1]
+                    ]
+                    assert (100 + percent) * max(bound, default=0) >= percent * (len(sets[a]) + len(sets[b]))
+
+
+def test_texts_that_share_keys_without_links_meet_few_others(spark, monkeypatch):
+    """1,200 texts of one origin, each with own edits: similarity about 0.66, far below a link."""
+    draw = np.random.default_rng(9)
+    base = [f"t{k}" for k in range(150)]
+    rows = []
+    for i in range(1200):
+        words = list(base)
+        for at in draw.choice(150, 3, replace=False):
+            words[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(words)))
+    rows += [(5000 + i, rows[i][1] + " tail") for i in range(0, 1200, 100)]
+    sizes = collections.defaultdict(list)
+
+    def counting(frame, purpose, keep=near_duplicates.stored):
+        found = keep(frame, purpose)
+        sizes[purpose].append(found.count())
+        return found
+
+    monkeypatch.setattr(near_duplicates, "stored", counting)
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found}
+    assert got == components(rows, 85)
+    assert sizes["unlike"] and sizes["unlike"][0] > 600  # they do share table keys
+    compared = sum(sizes["pairs"])
+    assert compared < 20 * 1200 and sum(sizes["files"]) < 20 * 1200
+
+
+def test_one_document_with_two_texts(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    other = " ".join(f"v{i}" for i in range(50))
+    rows = [(1, text), (1, other), (2, other + " more"), (3, text + " more")]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("scratch_")]
+
+
 # --- 3 ------------------------------------------------------------------------
 
 
@@ -292,12 +411,68 @@ def test_url_rules_and_the_method(spark):
     expected = dict(enumerate(urls.values())) | {None: ("org", "/", "org/", "allow")}
     for r in found:
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == expected[r["page_id"]]
-    bare = url_rules.Rule("block", r"\n/[0-9]+$", (), 0)
+    bare = url_rules.Rule("block", r"#/[0-9]+$", (), 0)
     only = url_rules.judge(spark.createDataFrame([(1, "http://h/12")], "page_id long, url string"), [bare])
     assert only.first()["verdict"] == "block"
     assert url_rules.judge(pages.limit(0), queries.RULES).count() == 0
 
 
+def test_hosts_with_line_breaks_and_very_long_urls(spark):
+    rows = [(1, "http://a\n.org/x"), (2, "http://a\n.example.org/es/y"), (3, "http://org\n/x"), (4, "http://org/" + "a/" * 300_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    found = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_rules.judge(pages, queries.RULES).collect()}
+    assert found == {1: ("org/", "allow"), 2: ("example.org/es/", "block"), 3: (None, "allow"), 4: ("org/", "allow")}
+
+
+def slow_listed(lines, host, rest):
+    """A filter list tried line by line, by its own reading of the marks."""
+    verdicts = set()
+    for line in lines:
+        exception = line.startswith("@@")
+        body = line.removeprefix("@@")
+        at_host, at_end = body.startswith("||"), body.endswith("|")
+        body = body.removeprefix("||").removesuffix("|")
+        parts = {"*": ".*", "^": "(?:[^a-z0-9_.%-]|$)"}
+        pattern = "".join(parts.get(c) or re.escape(c) for c in body) + ("$" if at_end else "")
+        address = (host + rest).lower()
+        starts = [0, *(i + 1 for i, c in enumerate(host) if c == ".")] if at_host else range(len(address) + 1)
+        if any(re.compile(pattern.lower(), re.S).match(address, i) for i in starts):
+            verdicts.add(exception)
+    return "allow" if True in verdicts else "block" if verdicts else "allow"
+
+
+def test_thousands_of_listed_rules_equal_a_loop_over_all(spark):
+    draw = random.Random(3)
+    names = [f"n{i}" for i in range(40)]
+    hosts = [".".join(draw.sample(names, draw.randint(1, 3))) + draw.choice([".org", ".net"]) for _ in range(120)]
+
+    def line():
+        host, path = draw.choice(hosts), "/".join(draw.sample(names, 2))
+        form = draw.randrange(7)
+        body = (
+            f"||{host}^", f"||{host}/{path}", f"||{host}^*{draw.choice(names)}=", f"/{path}/", f"{draw.choice(names)}-{draw.choice(names)}*.html|",
+            f"?{draw.choice(names)}={draw.choice(names)}^", f"||{host.split('.')[-2]}.*/{draw.choice(names)}^",
+        )[form]
+        return ("@@" if draw.random() < 0.2 else "") + body
+
+    lines = [line() for _ in range(3000)]
+    urls = []
+    for k in range(400):
+        host = draw.choice(hosts) if draw.random() < 0.7 else draw.choice(names) + "." + draw.choice(hosts)
+        path = "/" + "/".join(draw.choice(names) for _ in range(draw.randint(0, 3)))
+        tail = draw.choice(["", ".html", f"-{draw.choice(names)}.HTML", f"?{draw.choice(names)}={draw.choice(names)}", f"#{draw.choice(names)}"])
+        urls.append((k, f"http://{host.upper() if k % 9 == 0 else host}{path}{tail}"))
+    rules = url_rules.listed_rules(["! comment", "", "||x^$third-party", "@@||", *lines])
+    assert len(rules) == len(lines) and sum(not r.tokens for r in rules) < 10
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, rules).collect()}
+    expected = {}
+    for k, url in urls:
+        host, _, rest = url.removeprefix("http://").partition("/")
+        expected[k] = slow_listed(lines, host.lower(), "/" + rest)
+    assert found == expected and 40 < sum(v == "block" for v in expected.values()) < 360
+
+
 # --- 6 ------------------------------------------------------------------------
 
 
@@ -391,6 +566,32 @@ def test_pieces_hold_every_id_once(spark, odd, empty, texts):
         assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_in_texts(spark):
+    """The string of a special token is that token, as the tokenizer has it, or ordinary text if asked for."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    rows = [(1, "<|endoftext|>"), (2, "a <|endoftext|> b"), (3, "x<|endoftext|>y z\n<|endoftext|>"), (4, "<|endoftext|")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for as_text in (False, True):
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = as_text
+        found = collections.defaultdict(list)
+        for r in packing.pack(frame, path, 64, special_as_text=as_text).orderBy("doc_id", "start").collect():
+            found[r["doc_id"]] += r["ids"]
+        assert found == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in rows}
+        assert (50256 in found[2]) != as_text
+
+
+def test_buckets_are_written_by_length(spark, texts):
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    path = fresh_folder(spark, "buckets")
+    packing.write_buckets(packing.pack(frame, queries.tokenizer_path(), 256), path)
+    stored = spark.read.parquet(path)
+    assert stored.filter("size(ids) <> shiftleft(1, bucket)").count() == 0
+    assert stored.agg(F.sum("length")).first()[0] == packing.pack(frame, queries.tokenizer_path(), 256).agg(F.sum("length")).first()[0]
+
+
 # --- 9 ------------------------------------------------------------------------
 
 
@@ -442,6 +643,33 @@ def test_items_of_few_shingles_are_not_lost_to_fingerprints(spark):
     assert all(r["similarity"] == 0.8 for r in found) and max(r["hamming"] for r in found) > decontamination.RADIUS
 
 
+def test_near_copies_do_not_depend_on_the_number_of_items(spark):
+    """A changed word costs as much among few items as among many."""
+    words = [f"w{i}" for i in range(104)]
+    changed = " ".join([*words[:50], "other", *words[51:]])
+    one = [(1, " ".join(words))]
+    many = one + [(k, " ".join(f"x{k}y{i}" for i in range(30))) for k in range(2, 302)]
+    docs = spark.createDataFrame([(7, "before it " + changed + " after it")], "doc_id long, text string")
+    for items in (one, many):
+        found = decontamination.contaminations(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert [(r["doc_id"], r["item_id"], r["start_word"]) for r in found] == [(7, 1, 2)]
+        assert found[0]["similarity"] == pytest.approx(95 / 105)
+
+
+def test_texts_of_one_item_and_rows_without_ids(spark):
+    first, second, third = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    items = spark.createDataFrame([(1, first), (1, second), (None, third), (1, first)], "item_id long, text string")
+    rows = [(10, first), (11, "x " + second), (12, third + " y"), (None, second), (None, "clean"), (13, "clean"), (13, first), (14, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    found = {(r["doc_id"], r["item_id"], r["start_word"]) for r in decontamination.contaminations(docs, items).collect()}
+    assert found == {(10, 1, 0), (11, 1, 1), (12, None, 0), (None, 1, 0), (13, 1, 0)}
+    left = decontamination.clean_documents(docs, items)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in left.fillna({"doc_id": -1, "text": ""}).collect()) == [
+        (-1, "clean"), (13, "clean"), (14, ""),
+    ]
+
+
 # --- 10 -----------------------------------------------------------------------
 
 

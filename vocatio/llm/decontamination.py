@@ -92,37 +92,39 @@ def _blocks() -> str:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """item_id, part, n_words, shingles of each benchmark item; items without words are left out.
+    """item_key, item_id, part, n_words, shingles of each text of the benchmark; those without words are left out.
 
-    The last part of a long item also takes the rest of fewer words than a shingle. Repeated items are one; rows with a null item_id are left out, as nothing could name them.
+    ``item_key`` tells texts apart that share an item_id or have none. The last part of a long item
+    also takes the rest of fewer words than a shingle. Repeated rows are one item.
     """
-    words = _words(benchmark.select("item_id", "text").filter("item_id IS NOT NULL").distinct())
+    texts = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
+    words = _words(texts.withColumn("item_key", F.xxhash64("item_id", "text")))
     last = f"(size(words) - {SHINGLE_WORDS}) DIV {PART_WORDS}"
     length = f"{PART_WORDS} + IF(p = {last}, {SHINGLE_WORDS - 1}, 0)"
     cut = (
         f"transform(sequence(0, CAST({last} AS int)), "
         f"p -> named_struct('part', p, 'words', slice(words, p * {PART_WORDS} + 1, {length})))"
     )
-    parts = words.filter("size(words) > 0").select("item_id", F.explode_outer(F.expr(cut)).alias("p"))
-    return _shingled(parts.select("item_id", "p.part", "p.words"))
+    parts = words.filter("size(words) > 0").select("item_key", "item_id", F.explode_outer(F.expr(cut)).alias("p"))
+    return _shingled(parts.select("item_key", "item_id", "p.part", "p.words"))
 
 
 def _heaviest(item_shingles: DataFrame, similarity: float) -> DataFrame:
-    """item_id, part, h: the heaviest shingles of each item of few, one of which any similar window holds.
+    """item_key, part, h: the heaviest shingles of each item of few, one of which any similar window holds.
 
     A window without them lacks more than 1 - similarity of the item's weight. Shingles that outweigh
     the others make fewer in effect: the square of the sum of weights over the sum of their squares.
     """
-    of_item = W.partitionBy("item_id", "part")
+    of_item = W.partitionBy("item_key", "part")
     weight = F.expr("item_tf * w")
     earlier = of_item.orderBy(F.desc("x_weight"), "h").rowsBetween(W.unboundedPreceding, -1)
     ranked = item_shingles.withColumn("x_weight", weight).select(
-        "item_id", "part", "h", F.sum("x_weight").over(of_item).alias("x_total"),
+        "item_key", "part", "h", F.sum("x_weight").over(of_item).alias("x_total"),
         F.sum(F.expr("x_weight * x_weight")).over(of_item).alias("x_squares"),
         F.coalesce(F.sum("x_weight").over(earlier), F.lit(0)).alias("x_before"),
     )
     few = F.expr(f"CAST(x_total AS double) * x_total <= {FEW_SHINGLES} * x_squares")
-    return ranked.filter(few & (F.col("x_before") <= (1 - similarity) * F.col("x_total") + 1e-6)).select("item_id", "part", "h")
+    return ranked.filter(few & (F.col("x_before") <= (1 - similarity) * F.col("x_total") + 1e-6)).select("item_key", "part", "h")
 
 
 def _short_items(docs: DataFrame, items: DataFrame, spread) -> DataFrame | None:
@@ -137,13 +139,13 @@ def _short_items(docs: DataFrame, items: DataFrame, spread) -> DataFrame | None:
         for n in sizes
     )
     places = _words(docs).select("key", "doc_id", F.explode_outer(F.expr(f"concat({sequences})")).alias("s"))
-    asked = short.select("item_id", "part", F.col("n_words").alias("item_words"), F.col("shingles")[0].alias("h"))
+    asked = short.select("item_key", "part", F.col("n_words").alias("item_words"), F.col("shingles")[0].alias("h"))
     hits = places.select("key", "doc_id", "s.at", "s.h").join(spread(asked), "h")
-    first = hits.groupBy("key", "doc_id", "item_id", "part").agg(
+    first = hits.groupBy("key", "doc_id", "item_key", "part").agg(
         F.min("at").alias("start_word"), F.first("item_words").alias("n_words")
     )
     return first.select(
-        "doc_id", "item_id", "part", "start_word", "n_words", F.lit(1.0).alias("similarity"), F.lit(0).alias("hamming")
+        "key", "doc_id", "item_key", "part", "start_word", "n_words", F.lit(1.0).alias("similarity"), F.lit(0).alias("hamming")
     )
 
 
@@ -154,25 +156,33 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     and an item with fewer words is found wherever a document holds that sequence.
     Shingles weigh 1 to 8, more the fewer items hold them. A document shorter than an item is one
     window. Similarity is the weighted sum of the common shingles over that of all, repetitions
-    counted; ties go to the earliest window. Null and empty texts match nothing; repeated rows and
-    rows that share doc_id and text give their pairs once; pairs of rows with a null doc_id carry
-    it. Other columns are left out. An empty table on either side gives no rows.
+    counted; ties go to the earliest window. A shingle that no item holds weighs as much as one that
+    a single item holds. Texts that share an item_id, or have none, are items of their own, each
+    with its rows. Null and empty texts match nothing; repeated rows and rows that share doc_id and
+    text give their pairs once; pairs of rows with a null doc_id carry it. Other columns are left
+    out. An empty table on either side gives no rows.
     """
+    return _contaminations(docs, benchmark, similarity).drop("key")
+
+
+def _contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFrame:
+    """``contaminations`` with the key of each document's id and text."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    key = F.xxhash64("doc_id", "text")
+    docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     items = stored(items_of(benchmark), "items")
-    held = items.select("item_id", "part", "n_words", F.posexplode_outer("shingles").alias("at", "h"))
-    size = items.agg(F.countDistinct("item_id").alias("items"), F.sum(F.size("shingles")).alias("n")).first()
+    held = items.select("item_key", "part", "n_words", F.posexplode_outer("shingles").alias("at", "h"))
+    size = items.agg(F.countDistinct("item_key").alias("items"), F.sum(F.size("shingles")).alias("n")).first()
     spread = F.broadcast if (size["n"] or 0) <= BROADCAST_SHINGLES else (lambda frame: frame)
     rare = F.floor(F.log2(F.lit(max(1, size["items"])) / F.col("items"))).cast("long") + 1
+    unknown = min(MOST_WEIGHT, max(1, size["items"]).bit_length())  # as a shingle that one item holds
     weights = stored(
-        held.groupBy("h").agg(F.countDistinct("item_id").alias("items"))
+        held.groupBy("h").agg(F.countDistinct("item_key").alias("items"))
         .select("h", F.greatest(F.lit(1), F.least(F.lit(MOST_WEIGHT), rare)).cast("long").alias("w")),
         "weights",
     )
 
     # Windows: wherever a shingle of an item occurs, the span that aligns both.
-    texts = _shingled(_words(docs.withColumn("key", key)))
+    texts = _shingled(_words(docs))
     places = texts.select("key", "doc_id", "n_words", F.posexplode_outer("shingles").alias("at", "h"))
     aligned = held.select("h", F.col("at").alias("item_at"), F.col("n_words").alias("item_words")).distinct()
     hits = places.join(spread(aligned), "h")
@@ -185,7 +195,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     )
 
     marked = windows.select("key", "doc_id").distinct()
-    again = docs.withColumn("key", key).alias("d").join(
+    again = docs.alias("d").join(
         marked.alias("m"), (F.col("d.key") == F.col("m.key")) & F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")), "left_semi"
     )
     again = _shingled(_words(again)).dropDuplicates(["key", "doc_id"]).withColumnRenamed("n_words", "all_words")
@@ -197,21 +207,21 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     where = ["key", "doc_id", "start_word", "n_words"]
     weighted = opened.groupBy(*where, "h").agg(F.count("*").alias("tf")).join(spread(weights), "h", "left")
     weighted = stored(
-        weighted.select(*where, "h", "tf", F.coalesce("w", F.lit(MOST_WEIGHT).cast("long")).alias("weight")),
+        weighted.select(*where, "h", "tf", F.coalesce("w", F.lit(unknown).cast("long")).alias("weight")),
         "window-shingles",
     )
     prints = stored(_fingerprints(weighted.withColumn("w", F.expr("tf * weight")), where), "window-prints")
 
-    item_shingles = held.groupBy("item_id", "part", "h").agg(F.count("*").alias("item_tf")).join(weights, "h")
+    item_shingles = held.groupBy("item_key", "part", "h").agg(F.count("*").alias("item_tf")).join(weights, "h")
     item_prints = stored(
-        _fingerprints(item_shingles.withColumn("w", F.expr("item_tf * w")), ["item_id", "part"]), "item-prints"
+        _fingerprints(item_shingles.withColumn("w", F.expr("item_tf * w")), ["item_key", "part"]), "item-prints"
     )
     masks = f"filter(sequence(0, {(1 << BLOCK_BITS) - 1}), x -> bit_count(x) <= {BLOCK_RADIUS})"
     filed = item_prints.select(
-        "item_id", "part", F.col("f0").alias("i0"), F.col("f1").alias("i1"), F.col("total").alias("item_total"),
+        "item_key", "part", F.col("f0").alias("i0"), F.col("f1").alias("i1"), F.col("total").alias("item_total"),
         F.explode_outer(F.expr(_blocks())).alias("b"),
     ).select(
-        "item_id", "part", "i0", "i1", "item_total", F.col("b.block").alias("block"),
+        "item_key", "part", "i0", "i1", "item_total", F.col("b.block").alias("block"),
         F.explode_outer(F.expr(f"transform({masks}, x -> b.value ^ CAST(x AS bigint))")).alias("value"),
     )
     asked = prints.select(*where, "total", "f0", "f1", F.explode_outer(F.expr(_blocks())).alias("b")).select(
@@ -220,13 +230,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     hamming = F.expr("bit_count(f0 ^ i0) + bit_count(f1 ^ i1)")
     near = (
         asked.join(filed, ["block", "value"]).withColumn("hamming", hamming).filter(F.col("hamming") <= RADIUS)
-        .select(*where, "total", "item_id", "part", "item_total", "hamming").distinct()
+        .select(*where, "total", "item_key", "part", "item_total", "hamming").distinct()
     )
 
-    holds = weighted.join(spread(_heaviest(item_shingles, similarity)), "h").select(*where, "item_id", "part").distinct()
+    holds = weighted.join(spread(_heaviest(item_shingles, similarity)), "h").select(*where, "item_key", "part").distinct()
     holds = holds.join(
-        spread(item_prints.select("item_id", "part", F.col("f0").alias("i0"), F.col("f1").alias("i1"), F.col("total").alias("item_total"))),
-        ["item_id", "part"],
+        spread(item_prints.select("item_key", "part", F.col("f0").alias("i0"), F.col("f1").alias("i1"), F.col("total").alias("item_total"))),
+        ["item_key", "part"],
     )
     holds = holds.alias("l").join(
         prints.alias("r"),
@@ -241,25 +251,32 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
         & (F.col("n.start_word") == F.col("s.start_word")) & (F.col("n.n_words") == F.col("s.n_words")),
     ).select("n.*", "s.h", "s.tf", "s.weight")
     common = paired.join(
-        item_shingles.select("item_id", "part", "h", "item_tf"), ["item_id", "part", "h"]
-    ).groupBy(*where, "total", "item_id", "part", "item_total", "hamming").agg(
+        item_shingles.select("item_key", "part", "h", "item_tf"), ["item_key", "part", "h"]
+    ).groupBy(*where, "total", "item_key", "part", "item_total", "hamming").agg(
         F.sum(F.expr("weight * least(tf, item_tf)")).alias("both")
     )
     alike = F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))
     best = F.max(F.struct(alike.alias("similarity"), (-F.col("start_word")).alias("first"), "n_words", "hamming"))
-    found = common.filter(alike >= similarity).groupBy("key", "doc_id", "item_id", "part").agg(best.alias("best"))
+    found = common.filter(alike >= similarity).groupBy("key", "doc_id", "item_key", "part").agg(best.alias("best"))
     found = found.select(
-        "doc_id", "item_id", "part", (-F.col("best.first")).alias("start_word"), "best.n_words",
+        "key", "doc_id", "item_key", "part", (-F.col("best.first")).alias("start_word"), "best.n_words",
         "best.similarity", "best.hamming",
     )
-    short = _short_items(docs.withColumn("key", key), items, spread)
-    return found if short is None else found.unionByName(short)
+    short = _short_items(docs, items, spread)
+    found = found if short is None else found.unionByName(short)
+    names = items.select("item_key", "item_id").distinct()
+    return found.join(spread(names), "item_key").select(
+        "key", "doc_id", "item_id", "part", "start_word", "n_words", "similarity", "hamming"
+    )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without any window similar to a benchmark item; columns as given.
+    """The rows of documents without any window similar to a benchmark item; columns as given.
 
-    Rows with a null doc_id stay: nothing could name them in the list of contaminations.
+    Rows are judged by doc_id and text together, so a null doc_id is judged as well.
     """
-    found = stored(contaminations(docs, benchmark, similarity).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = stored(_contaminations(docs, benchmark, similarity).select("key").distinct(), "contaminated")
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    return docs.withColumn("x_key", key).join(found.withColumnRenamed("key", "x_key"), "x_key", "left_anti").select(
+        *docs.columns
+    )

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from vocatio.llm.tables import id_remainder, texts_by_size
 
 HIDDEN = 16
-LONGEST = 32  # bytes run together; a longer word is cut
+LONGEST = 32  # bytes run together; a longer word is cut between characters, in training as in use
 KNOWN_WORDS = 150_000  # words whose sums a task remembers; more cost time only
 CHUNK_BYTES = 1 << 20
 
@@ -42,8 +42,8 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _forward(net: Network, codes: np.ndarray, present: np.ndarray, way: int):
-    """States at every position and what the way back needs. codes, present: (length, words)."""
+def _forward(net: Network, codes: np.ndarray, present: np.ndarray, way: int, keep: bool):
+    """States at every position and, if asked for, what the way back needs. codes, present: (length, words)."""
     size = net.states.shape[1]
     h = np.zeros((codes.shape[1], size), np.float32)
     kept = []
@@ -58,14 +58,15 @@ def _forward(net: Network, codes: np.ndarray, present: np.ndarray, way: int):
         new = c + z * (h - c)
         on = present[t][:, None]
         new = np.where(on, new, h)
-        kept.append((t, h, r, z, c, g[:, 2 * size :], on))
+        if keep:
+            kept.append((t, h, r, z, c, g[:, 2 * size :], on))
         h = states[t] = new
     return states, kept
 
 
-def _logits(net: Network, codes, present):
-    there, kept_there = _forward(net, codes, present, 0)
-    back, kept_back = _forward(net, codes, present, 1)
+def _logits(net: Network, codes, present, keep: bool = False):
+    there, kept_there = _forward(net, codes, present, 0, keep)
+    back, kept_back = _forward(net, codes, present, 1, keep)
     both = np.concatenate([there, back], axis=2)
     return both @ net.out + net.bias, both, (kept_there, kept_back)
 
@@ -76,7 +77,7 @@ def _softmax(x):
 
 
 def _gradients(net: Network, codes, present, labels):
-    logits, both, kept = _logits(net, codes, present)
+    logits, both, kept = _logits(net, codes, present, keep=True)
     weight = present.astype(np.float32)[:, :, None] / max(1, present.sum())
     wrong = _softmax(logits)
     np.put_along_axis(wrong, np.broadcast_to(labels[None, :, None], (*codes.shape, 1)).copy(),
@@ -104,12 +105,26 @@ def _gradients(net: Network, codes, present, labels):
     return found
 
 
+def pieces_of(word: bytes) -> list[bytes]:
+    """A word in parts of LONGEST bytes at most, cut between characters."""
+    if len(word) <= LONGEST:
+        return [word]
+    found, at = [], 0
+    while at < len(word):
+        end = min(at + LONGEST, len(word))
+        while end < len(word) and end > at + 1 and word[end] & 0xC0 == 0x80:
+            end -= 1
+        found.append(word[at:end])
+        at = end
+    return found
+
+
 def train(sample: list[tuple[str, str]], seed: int = 7) -> Network | None:
     """A network from (language, text) pairs; None without any."""
     langs = sorted({lang for lang, _ in sample})
     words: list[list[bytes]] = [[] for _ in langs]
     for lang, text in sample:
-        words[langs.index(lang)] += [w[:LONGEST] for w in text.encode().split()]
+        words[langs.index(lang)] += [piece for w in text.encode().split() for piece in pieces_of(w)]
     words = [w or [b" "] for w in words]
     if not langs:
         return None
@@ -144,7 +159,7 @@ def _padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def position_sums(net: Network, words: list[bytes]) -> np.ndarray:
     """Sum over the positions of each word of the language probabilities, and the number of positions."""
-    pieces = [(i, w[at : at + LONGEST]) for i, w in enumerate(words) for at in range(0, len(w), LONGEST)]
+    pieces = [(i, piece) for i, w in enumerate(words) for piece in pieces_of(w)]
     pieces.sort(key=lambda p: len(p[1]))
     found = np.zeros((len(words), len(net.langs) + 1), np.float64)
     for first in range(0, len(pieces), 4096):
@@ -159,10 +174,14 @@ def position_sums(net: Network, words: list[bytes]) -> np.ndarray:
 
 
 class _Numbers(dict):
-    """Words numbered as they come."""
+    """Words numbered as they come; ``new`` holds those that came last."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
 
     def __missing__(self, word):
         self[word] = number = len(self)
+        self.new.append(word)
         return number
 
 
@@ -186,9 +205,9 @@ class Pool:
             words = [t.split() for t in texts[first:last]]
             sizes = np.fromiter(map(len, words), np.int64, len(words))
             numbers = np.fromiter((self.numbers[w] for ws in words for w in ws), np.int64, sizes.sum())
-            new = list(self.numbers)[len(self.sums) :]
-            if new:
-                self.sums = np.concatenate([self.sums, position_sums(self.net, new)])
+            if self.numbers.new:
+                self.sums = np.concatenate([self.sums, position_sums(self.net, self.numbers.new)])
+                self.numbers.new = []
             full = np.flatnonzero(sizes)
             if len(full):
                 starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
@@ -232,7 +251,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
     A null text and one without any letter is ``und`` with score 0, and so is every text when no
     label was there to learn from. Null ids stay null, repeated rows stay, other columns are left
-    out. Equal texts get equal results.
+    out. Equal texts get equal results. Of equally probable languages the first by name is taken.
     """
     id_type = docs.schema["doc_id"].dataType
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
@@ -266,6 +285,18 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     return docs.select("doc_id", "text", lettered.alias("lettered")).mapInArrow(label, fields)
 
 
+def least_score(net: Network | None, sample: list[tuple[str, str]]) -> float:
+    """A score that texts of the learned languages reach: halfway from chance to their lowest hundredth.
+
+    Learned from the labelled sample, so it follows the number of languages; 0 without a network.
+    """
+    if net is None:
+        return 0.0
+    scores = Pool(net)([text.encode() for _, text in sample if text.split()]).max(axis=1)
+    chance = 1 / len(net.langs)
+    return float(chance + (np.quantile(scores, 0.01) - chance) / 2) if len(scores) else 0.0
+
+
 def keep_identified(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
     """The rows whose language is known with a score of at least ``least``; columns as given.
 

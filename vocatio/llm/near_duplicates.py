@@ -7,13 +7,23 @@ share a key are candidates; a link needs the exact similarity of the full sets.
 
 Candidates are not all pairs of a key. A key's smallest members are compared with
 the others first; links merge components, and only members of components that are
-still apart go on, against eight times as many leaders each round, until every key
-is one component or all its members have led. No pair of a key is left out unseen: a
-pair goes on to its full sets when their sizes allow the similarity and their coarse
-signatures, one bit of the least hash in each of 128 bins, differ by no more than four
-deviations beyond what the threshold makes likely. A group of linked copies costs a few
+still apart go on, against eight leaders of each key. A group of linked copies costs a few
 comparisons per copy.
 
+Members of keys that are still apart then, texts that share much but too little for a link,
+are not compared by key any more, which would make all pairs of them. Each is filed under
+its rarest shingles: sets of n and m shingles can only be similar if they share one of the
+first n - a + 1 of n and of the first m - a + 1 of m in any common order, a being the
+shingles that a link of these sizes needs to share. Sizes go by bands, so that a file holds
+sets of two bands only, and the places of the shared shingle in both sets bound what else
+they can share. That is exact, and texts whose own shingles make them unlike meet nobody.
+Leaders of growing number compare what still meets, until every file is one component or
+all its members have led.
+
+A pair goes on to its full sets when their sizes allow the similarity and their coarse
+signatures, one bit of the least hash in each of 128 bins, differ by no more than four
+deviations beyond what the threshold makes likely.
+
 A second signature proves most other pairs apart without their sets: the parity of the
 shingles that fall in each of 256 bins. Bins of unequal parity are at most as many as the
 shingles that only one of the sets has, so a pair with more of them than the similarity
@@ -39,6 +49,9 @@ LEADERS = 8  # growth of the leaders per key from round to round
 BITS = 128  # of a coarse signature that candidates are compared by first
 PARITIES = 256  # bits of the signature that bounds what two sets do not share
 SIGNATURE = (BITS + PARITIES) // 64
+BY_KEY = 8  # leaders per table key, after which members are filed under their rarest shingles
+SLOTS = 1 << 20  # counters of shingles, by which rare ones come first
+BAND = 1.05  # between the sizes of a band
 MOST_BROADCAST = 4_000_000  # document numbers, 32 MB; with more of them, texts are shuffled to theirs
 
 _ODD = np.random.default_rng(20240229).integers(0, 1 << 63, (64, 2), dtype=np.uint64) | np.uint64(1)
@@ -149,6 +162,86 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _band_starts() -> np.ndarray:
+    starts = [1]
+    while starts[-1] < 1 << 40:
+        starts.append(max(starts[-1] + 1, math.ceil(starts[-1] * BAND)))
+    return np.array(starts)
+
+
+def _counted(batches):
+    """How many shingles fall in each counter."""
+    for batch in batches:
+        values = np.frombuffer(b"".join(column_bytes(batch.column("shingles"))), np.uint64)
+        slots, n = np.unique(values % np.uint64(SLOTS), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(n)], names=["slot", "n"])
+
+
+def rarest_first(values: np.ndarray, counters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A set's shingles in the order that all sets share, and their counters."""
+    counts = counters[(values % np.uint64(SLOTS)).astype(np.int64)]
+    order = np.lexsort((values, counts))
+    return values[order], counts[order]
+
+
+def files_of(values: np.ndarray, counters: np.ndarray, percent: int, starts: np.ndarray):
+    """The files of a set, the place of their shingle in it, and the set's side in them.
+
+    Shingles counted once meet nobody. In a file of two bands, sets of the lower one (side 1) meet
+    those of the upper one (side 2) only; a file of a single band has side 0.
+    """
+    n = len(values)
+    values, counts = rarest_first(values, counters)
+    band = int(np.searchsorted(starts, n, "right")) - 1
+    least, most = -(-percent * n // 100), 100 * n // percent
+    keys, places, sides = [], [], []
+    other = int(np.searchsorted(starts, least, "right")) - 1
+    while starts[other] <= most:
+        shared = -(-percent * (n + max(least, int(starts[other]))) // (100 + percent))
+        place = np.flatnonzero(counts[: n - shared + 1] > 1)
+        pair = np.uint64(min(band, other) << 20 | max(band, other))
+        keys.append(mix(values[place] ^ mix(pair * _ODD[62, 0])))
+        places.append(place)
+        sides.append(np.full(len(place), 0 if other == band else 1 if band < other else 2))
+        other += 1
+    return np.concatenate(keys), np.concatenate(places), np.concatenate(sides)
+
+
+def _filed(counters, percent: int):
+    starts = _band_starts()
+
+    def files(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, 100):
+                part = batch.slice(first, 100)
+                found = [
+                    files_of(np.frombuffer(s, np.uint64), counters.value, percent, starts)
+                    for s in column_bytes(part.column("shingles"))
+                ]
+                keys, places, sides = (np.concatenate(column) for column in zip(*found))
+                nodes = np.repeat(part.column("node").to_numpy(), [len(own[0]) for own in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(nodes), pa.array(places), pa.array(sides.astype(np.int32))],
+                    names=["key", "node", "place", "side"],
+                )
+
+    return files
+
+
+def _by_rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """key, node, place, side: the files of the given sets (node, shingles) in which some may meet."""
+    sums = sets.select("shingles").mapInArrow(_counted, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = sums.toArrow()  # SLOTS rows at most
+    counters = np.zeros(SLOTS, np.uint32)
+    counters[found.column("slot").to_numpy()] = np.minimum(found.column("n").to_numpy(), (1 << 32) - 1)
+    counters = sets.sparkSession.sparkContext.broadcast(counters)
+    filed = stored(sets.mapInArrow(_filed(counters, percent), "key long, node long, place long, side int"), "filed")
+    crowded = filed.groupBy("key").agg(
+        F.min("node").alias("lo"), F.max("node").alias("hi"), F.min("side").alias("from"), F.max("side").alias("to")
+    ).filter("lo < hi AND (to = 0 OR from < to)")
+    return filed.join(crowded.select("key"), "key")
+
+
 def _apart(live: DataFrame, led: int) -> DataFrame:
     """Keys with several components and members that neither led nor were compared with all."""
     of_key = live.groupBy("key").agg(
@@ -196,8 +289,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     wanted = nodes.select("node").distinct()
     if nodes.count() <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)  # texts that no candidate needs do not travel
-    texts = docs.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi").distinct()
-    sets = bucketed(texts.mapInArrow(_sets, "node long, shingles binary"), "sets", "node")
+    # Dealt out by bucket, so that a task writes one bucket's file.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi")
+    texts = texts.repartition(parts, "node").distinct()
+    sets, sets_name = bucketed(texts.mapInArrow(_sets, "node long, shingles binary"), "sets", "node")
 
     differ = (1 - percent / 100) / 2
     most = math.ceil(BITS * differ + 4 * math.sqrt(BITS * differ * (1 - differ)))
@@ -205,19 +301,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     near = (
         f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n) "
         f"AND {' + '.join(unequal[: BITS // 64])} <= {most} "
-        f"AND {100 + percent} * ({' + '.join(unequal[BITS // 64 :])}) <= {100 - percent} * (n + leader_n)"
+        f"AND {100 + percent} * ({' + '.join(unequal[BITS // 64 :])}) <= {100 - percent} * (n + leader_n) "
+        f"AND {100 + percent} * least(n - place, leader_n - leader_place) >= {percent} * (n + leader_n) "
+        "AND (side = 0 OR side <> leader_side)"
     )
     labels = nodes.select("node", F.col("node").alias("component"))
     links = None
-    led, leading = 0, 1
-    live = members.join(nodes.withColumn("component", F.col("node")), "node")
+    led, leading, by_key = 0, 1, True
+    live = members.withColumn("place", F.lit(0).cast("long")).withColumn("side", F.lit(0)).join(nodes.withColumn("component", F.col("node")), "node")
     while True:
-        live = stored(live, "live")  # key, node, n, signature, component: of keys that are not done
+        live = stored(live, "live")  # key, node, place, side, n, signature, component: of keys that are not done
         rank = F.row_number().over(W.partitionBy("key").orderBy("node"))
         leaders = (
             live.withColumn("rank", rank).filter(f"rank <= {leading}").filter(f"rank > {led}").select(
                 "key", F.col("node").alias("leader"), F.col("component").alias("leads"),
-                F.col("n").alias("leader_n"), *(F.col(f"s{k}").alias(f"l{k}") for k in range(SIGNATURE)),
+                F.col("n").alias("leader_n"), F.col("place").alias("leader_place"), F.col("side").alias("leader_side"),
+                *(F.col(f"s{k}").alias(f"l{k}") for k in range(SIGNATURE)),
             )
         )
         pairs = (
@@ -239,7 +338,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         apart = stored(_apart(live, led).select("key"), "apart")
         if not apart.take(1):
             break
+        if by_key and led >= BY_KEY:
+            by_key, led, leading = False, 0, 1
+            unlike = stored(live.join(apart, "key").select("node").distinct(), "unlike")
+            files = stored(_by_rarest(sets.join(unlike, "node", "left_semi"), percent), "files")
+            live = stored(files.join(nodes, "node").join(labels, "node"), "live")
+            apart = stored(_apart(live, led).select("key"), "apart")
+            if not apart.take(1):
+                break
         live = live.join(apart, "key")
+    docs.sparkSession.sql(f"DROP TABLE IF EXISTS {sets_name}")  # its name only
 
     found = classes.select("set_key", "node").join(labels.select("node", "component"), "node", "left")
     found = found.groupBy("set_key").agg(F.min(F.coalesce("component", "node")).alias("component"))

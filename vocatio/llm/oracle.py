@@ -26,12 +26,16 @@ URL_VERDICTS = r"""
 WITH p AS (SELECT page_id, row_number() OVER () AS r,
                   CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 q AS (SELECT page_id, r, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '(?s)^[^/?#]*(.*)', 1) AS after FROM p),
 rules(verdict, h, t) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
                                 ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 best AS (SELECT r, arg_max(h || t, length(h || t)) AS rule, arg_max(verdict, length(h || t)) AS verdict
          FROM q JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, t) GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE
+         WHEN regexp_matches(host, '(?s)(^|\.)m\..*\.example\.net$') THEN 'allow'
+         WHEN regexp_matches(host, '(^|\.)example\.net$') AND (regexp_matches(after, '(?is)^/fr/.*\?page=')
+              OR regexp_matches(after, '(?is)^[^a-z0-9_.%#-].*\?utm_source=feed$')) THEN 'block'
+         WHEN regexp_matches(host || after, '(?is)-x\.example\..*[^a-z0-9_.%-]es/.*\.html$') THEN 'block'
          WHEN regexp_matches(host, '(^|[.-])(cheap-pills|free-bets|online-casino|adult-cams)([.-]|$)') THEN 'block'
          ELSE 'allow' END) AS verdict
 FROM q LEFT JOIN best USING (r)"""
@@ -61,29 +65,29 @@ FROM b"""
 DECONTAMINATION = f"""
 WITH dw AS (SELECT DISTINCT doc_id, text, {WORDS} AS words FROM documents),
 ds AS (SELECT row_number() OVER () AS k, doc_id, len(words) AS n, {SHINGLES} AS shingles FROM dw WHERE len(words) > 0),
-bw AS (SELECT DISTINCT item_id, text, {WORDS} AS words FROM benchmark),
-bs AS (SELECT item_id, len(words) AS n, {SHINGLES} AS shingles FROM bw WHERE len(words) > 0),
-held AS (SELECT item_id, n, unnest(shingles) AS h, unnest(range(len(shingles))) AS at FROM bs),
-items AS (SELECT count(*) AS items FROM bs),
-weights AS (SELECT h, greatest(1, least(8, 1 + CAST(floor(log2(any_value(items) / count(DISTINCT item_id))) AS INT))) AS w
+bw AS (SELECT DISTINCT item_id, coalesce(text, '') AS text, {WORDS} AS words FROM benchmark),
+bs AS (SELECT row_number() OVER () AS item, item_id, len(words) AS n, {SHINGLES} AS shingles FROM bw WHERE len(words) > 0),
+held AS (SELECT item, n, unnest(shingles) AS h, unnest(range(len(shingles))) AS at FROM bs),
+items AS (SELECT count(*) AS items, least(8, 1 + CAST(floor(log2(greatest(1, count(*)))) AS INT)) AS unknown FROM bs),
+weights AS (SELECT h, greatest(1, least(8, 1 + CAST(floor(log2(any_value(items) / count(DISTINCT item))) AS INT))) AS w
             FROM held, items GROUP BY h),
 places AS (SELECT k, n, unnest(shingles) AS h, unnest(range(len(shingles))) AS at FROM ds),
 windows AS (SELECT DISTINCT k, greatest(0, least(p.at - b.at, p.n - b.n)) AS first, least(b.n, p.n) AS width
             FROM places p JOIN held b USING (h)),
-inside AS (SELECT k, first, width, p.h, count(*) AS tf, coalesce(any_value(w), 8) AS w
-           FROM windows JOIN places p USING (k) LEFT JOIN weights USING (h)
+inside AS (SELECT k, first, width, p.h, count(*) AS tf, coalesce(any_value(w), any_value(unknown)) AS w
+           FROM windows JOIN places p USING (k) LEFT JOIN weights USING (h), items
            WHERE p.at >= first AND p.at < first + greatest(1, width - 4) GROUP BY k, first, width, p.h),
 totals AS (SELECT k, first, width, sum(tf * w) AS total FROM inside GROUP BY ALL),
-ih AS (SELECT item_id, h, count(*) AS tf, any_value(w) AS w FROM held JOIN weights USING (h) GROUP BY item_id, h),
-it AS (SELECT item_id, sum(tf * w) AS total FROM ih GROUP BY item_id),
-both_sums AS (SELECT k, first, width, item_id, sum(ih.w * least(inside.tf, ih.tf)) AS both_sum
+ih AS (SELECT item, h, count(*) AS tf, any_value(w) AS w FROM held JOIN weights USING (h) GROUP BY item, h),
+it AS (SELECT item, sum(tf * w) AS total FROM ih GROUP BY item),
+both_sums AS (SELECT k, first, width, item, sum(ih.w * least(inside.tf, ih.tf)) AS both_sum
               FROM inside JOIN ih USING (h) GROUP BY ALL),
-alike AS (SELECT k, first, width, item_id, both_sum / (t.total + it.total - both_sum) AS similarity
-          FROM both_sums JOIN totals t USING (k, first, width) JOIN it USING (item_id)),
-best AS (SELECT *, row_number() OVER (PARTITION BY k, item_id ORDER BY similarity DESC, first, width DESC) AS place
+alike AS (SELECT k, first, width, item, both_sum / (t.total + it.total - both_sum) AS similarity
+          FROM both_sums JOIN totals t USING (k, first, width) JOIN it USING (item)),
+best AS (SELECT *, row_number() OVER (PARTITION BY k, item ORDER BY similarity DESC, first, width DESC) AS place
          FROM alike WHERE similarity >= 0.8)
 SELECT doc_id, item_id, CAST(first AS BIGINT) AS start_word, CAST(width AS BIGINT) AS n_words, round(similarity, 9) AS similarity
-FROM best JOIN ds USING (k) WHERE place = 1"""
+FROM best JOIN ds USING (k) JOIN bs USING (item) WHERE place = 1"""
 
 # crc32 of the doc_id's digits, bit by bit; the words of planted texts; then pairs of equal
 # six-word sequences at one distance, whose islands are the runs of any period.

@@ -25,18 +25,20 @@ class WordIds:
 
     A blank or line end between two other characters always opens a new pre-token of the byte-level
     vocabulary, so a text may be cut before it. Texts with other white space, or several in a row,
-    are encoded whole. Words in use outlive those that are not: a full memory becomes the older one.
+    and those with the string of a special token are encoded whole. Words in use outlive those that
+    are not: a full memory becomes the older one.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         # A special token between words keeps them apart within one string.
         self.joined = Tokenizer.from_file(path)
         special = [(i, t.content) for i, t in self.joined.get_added_tokens_decoder().items() if t.special]
         self.mark_id, self.mark = special[0]
+        self.special = [content for _, content in special]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -72,7 +74,7 @@ class WordIds:
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = []
         for text in texts:
-            if "\0" in text or text.replace("\n", " ").split(" ") != text.split():
+            if "\0" in text or any(s in text for s in self.special) or text.replace("\n", " ").split(" ") != text.split():
                 cut.append([text])
             else:
                 cut.append(text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0"))
@@ -103,11 +105,14 @@ def cuts(n: int, longest: int) -> list[tuple[int, int]]:
     return found
 
 
-def pack(docs: DataFrame, tokenizer: str, longest: int = 1024, with_ids: bool = True) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, longest: int = 1024, with_ids: bool = True, special_as_text: bool = False
+) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, bucket,
     sequence_id, offset and, if asked for, ids.
 
-    ``longest`` is a power of two. A null or empty text has the closing id only. Every row is a
+    ``longest`` is a power of two. The string of a special token in a text becomes its id, as the
+    tokenizer does by itself, or ordinary text with ``special_as_text``. A null or empty text has the closing id only. Every row is a
     document, repeated ids and rows too; a null id stays null. Other columns are left out. An
     empty table gives no pieces. Sequence ids follow the order of the input's partitions.
     """
@@ -126,7 +131,9 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 1024, with_ids: bool =
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids_of = once_per_worker(("ids", tokenizer), lambda: WordIds(tokenizer))
+        ids_of = once_per_worker(
+            ("ids", tokenizer, special_as_text), lambda: WordIds(tokenizer, special_as_text)
+        )
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)

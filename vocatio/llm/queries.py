@@ -24,6 +24,15 @@ PATTERNS = [
     url_rules.words_in_host("block", "free", "bets"),
     url_rules.words_in_host("block", "online", "casino"),
     url_rules.words_in_host("block", "adult", "cams"),
+    *url_rules.listed_rules(
+        [
+            "! lines of a filter list",
+            "||example.net/fr/*?page=",
+            "||example.net^*?utm_source=feed|",
+            "-x.example.*^es/*.html|",
+            "@@||m.*.example.net^",
+        ]
+    ),
 ]
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import sys
+import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vocatio.sources.folders import fresh_folder
 
-_built: dict = {}
+IDLE_SECONDS = 30  # after which a worker forgets what it built for another stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,26 +23,33 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def bucketed(frame: DataFrame, purpose: str, column: str) -> DataFrame:
-    """The frame as a table in the shared folder, in buckets by a column: joins on it leave the table in place."""
+def bucketed(frame: DataFrame, purpose: str, column: str) -> tuple[DataFrame, str]:
+    """The frame as a table in the shared folder, in buckets by a column: joins on it leave the table in place.
+
+    Buckets need a name in the session's catalog, which is returned to be dropped after use.
+    """
     spark = frame.sparkSession
     path = fresh_folder(spark, purpose)
     name = "scratch_" + "".join(c if c.isalnum() else "_" for c in path.rstrip("/").rsplit("/", 1)[-1])
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frame.write.bucketBy(buckets, column).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def once_per_worker(key, build):
     """What ``build`` makes, made once in this Python worker.
 
     Functions travel to the workers by value, so a cache among their globals
-    would be new for every task; this one hangs on an installed module.
+    would be new for every task; this one hangs on an installed module. What no
+    task has asked for lately is let go, as workers outlive their stage.
     """
     cache = sys.modules["pyspark"].__dict__.setdefault("_vocatio_llm", {})
-    if key not in cache:
-        cache[key] = build()
-    return cache[key]
+    now = time.monotonic()
+    for other in [k for k, (_, used) in cache.items() if k != key and now - used > IDLE_SECONDS]:
+        del cache[other]
+    held = cache[key][0] if key in cache else build()
+    cache[key] = (held, now)
+    return held
 
 
 def text_or_empty(column: str = "text"):
