@@ -31,22 +31,24 @@ Embed = Callable[[list[str]], np.ndarray]
 Rerank = Callable[[list[tuple[str, str]]], Sequence[float]]
 
 PAIRS_PER_CALL = 256
+MODELS_KEPT = 2  # per kind and worker: a dictionary and postings may be embedded in turn
 
 
 _HELD = "vocatio_held_models"
 
 
 def _held(kind: str, key: str, factory: Callable[[], Callable]) -> Callable:
-    """The model that this worker built for ``key``; a former one of its kind is let go.
+    """The model that this worker built for ``key``; the two last ones of a kind are kept.
 
     This package travels to workers by value, so a global of it would be new in
     every task. A module of the worker's own outlives them.
     """
-    models = sys.modules.setdefault(_HELD, types.ModuleType(_HELD)).__dict__
-    if models.get(kind, ("", None))[0] != key:
-        models.pop(kind, None)
-        models[kind] = (key, factory())
-    return models[kind][1]
+    models = sys.modules.setdefault(_HELD, types.ModuleType(_HELD)).__dict__.setdefault(kind, {})
+    if key not in models:
+        while len(models) >= MODELS_KEPT:
+            models.pop(next(iter(models)))
+        models[key] = factory()
+    return models[key]
 
 
 def generated(prompt: Column, factory: Callable[[], Generate]) -> Column:
