@@ -1,13 +1,14 @@
 """Files in and out."""
 
 import os
+import pickle
 import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from vocatio.sources import datasets, folders, manifests, postings
+from vocatio.sources import datasets, folders, manifests, postings, records
 
 HEADER = "rec_id,position_responsibilities,city\n"
 
@@ -114,6 +115,20 @@ def test_ranges_cut_anywhere_give_the_records_of_a_whole_file(spark, folder, sma
     assert found.select("ord_block").distinct().count() > 5
 
 
+def test_small_ranges_share_tasks(spark, folder, small_ranges):
+    """Tasks number as the bytes ask for, and what each is sent grows by a few bytes per range."""
+    put(folder, "p_2020.csv", HEADER + "".join(f'k{i},"two\nlines",x\n' for i in range(8000)))
+    small_ranges(300)
+    read = postings.read_postings(spark, folder)
+    most = records.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    files = postings.list_files(spark, folder)
+    assert records._lines(spark, files).rdd.getNumPartitions() <= most
+    assert read.select("ord_block").distinct().count() > 400 > most
+    assert read.count() == read.select("rec_id").distinct().count() == 8000
+    inside = {("file:/" + "x" * 90, 128 * i): i % 2 == 0 for i in range(10_000)}
+    assert len(pickle.dumps(records._starts(inside))) < 12 * len(inside)
+
+
 def test_headers_come_from_one_scan(spark, folder):
     """As many jobs for thirty files as for two."""
     tracker = spark.sparkContext.statusTracker()

@@ -17,12 +17,19 @@ from __future__ import annotations
 
 import csv
 import io
+import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from vocatio.sources.datasets import size_on_disk
+
+TASKS_PER_CORE = 4
+TASK_BYTES = 16 << 20  # of byte ranges that one task reads, if they are smaller
+
 # Cells: quoted with whatever follows up to the delimiter, plain, or empty. Quantifiers are
 # possessive, so a doubled quote is never read as an end.
 _QUOTED_REST = rb'(?:[^"]++|"")*+"[^,]*+'
@@ -39,12 +46,18 @@ def ends_inside(line: bytes, inside: bool) -> bool:
 
 
 def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
-    """file, block, line: the lines of the files where they lie; a block is a byte range by its start."""
-    return spark.read.option("lineSep", "\n").text(files).select(
+    """file, block, line: the lines of the files where they lie; a block is a byte range by its start.
+
+    Where ranges are small a task takes several, one after another: tasks number as the bytes ask
+    for, not as the ranges do.
+    """
+    lines = spark.read.option("lineSep", "\n").text(files).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").cast("binary").alias("line"),
     )
+    cores = spark.sparkContext.defaultParallelism
+    return lines.coalesce(max(TASKS_PER_CORE * cores, math.ceil(size_on_disk(spark, files) / TASK_BYTES)))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[bytes]]]:
@@ -153,16 +166,30 @@ _RECORD = "file string, block long, pos long, part int, record binary"
 WHOLE, TAIL, THROUGH, HEAD = 0, 1, 2, 3
 
 
+def _starts(inside: dict[tuple[str, int], bool]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Per file the sorted beginnings of its blocks and whether they are inside: it goes to every task."""
+    of_file: dict[str, list[tuple[int, bool]]] = {}
+    for (file, block), begins in sorted(inside.items()):
+        of_file.setdefault(file, []).append((block, begins))
+    return {
+        file: (np.array([block for block, _ in rows], np.int64), np.array([begins for _, begins in rows], bool))
+        for file, rows in of_file.items()
+    }
+
+
 def _cut(inside: dict[tuple[str, int], bool]):
     """Cuts blocks into records; ``part`` tells whole ones from the pieces of those that cross a border."""
+    known = _starts(inside)
     schema = pa.schema(
         [("file", pa.string()), ("block", pa.int64()), ("pos", pa.int64()), ("part", pa.int32()), ("record", pa.binary())]
     )
 
     def rows(file: str, block: int, lines: Iterator[bytes]):
-        if (file, block) not in inside:
+        starts, begins = known.get(file, (np.empty(0, np.int64), None))
+        at = int(np.searchsorted(starts, block))
+        if at == len(starts) or starts[at] != block:
             raise ValueError(f"{file} was split otherwise in the first pass; read it again")
-        open_cell = inside[file, block]
+        open_cell = bool(begins[at])
         part, held, pos = (HEAD if open_cell else WHOLE), [], 0
         for line in lines:
             held.append(line)
