@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from vocatio.llm.components import star_components
-from vocatio.llm.tables import bucketed, stored
+from vocatio.llm.tables import bucketed, lean, stored
 from vocatio.llm.words import column_bytes, document_words, mix
 
 SHINGLE_WORDS = 5
@@ -158,7 +158,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     right = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("right_set")), "v")
     return right.join(left, ["u", "part"]).select("u", "v", "left_set", "right_set").mapInArrow(
-        _similar(percent), "u long, v long"
+        lean(_similar(percent)), "u long, v long"
     )
 
 
@@ -230,12 +230,12 @@ def _filed(counters, percent: int):
 
 def _by_rarest(sets: DataFrame, percent: int) -> DataFrame:
     """key, node, place, side: the files of the given sets (node, shingles) in which some may meet."""
-    sums = sets.select("shingles").mapInArrow(_counted, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    sums = sets.select("shingles").mapInArrow(lean(_counted), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     found = sums.toArrow()  # SLOTS rows at most
     counters = np.zeros(SLOTS, np.uint32)
     counters[found.column("slot").to_numpy()] = np.minimum(found.column("n").to_numpy(), (1 << 32) - 1)
     counters = sets.sparkSession.sparkContext.broadcast(counters)
-    filed = stored(sets.mapInArrow(_filed(counters, percent), "key long, node long, place long, side int"), "filed")
+    filed = stored(sets.mapInArrow(lean(_filed(counters, percent)), "key long, node long, place long, side int"), "filed")
     crowded = filed.groupBy("key").agg(
         F.min("node").alias("lo"), F.max("node").alias("hi"), F.min("side").alias("from"), F.max("side").alias("to")
     ).filter("lo < hi AND (to = 0 OR from < to)")
@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = stored(
-        docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, sketches array<long>"), "sketches"
+        docs.mapInArrow(lean(_sketch), "doc_id long, n_shingles long, set_key binary, sketches array<long>"), "sketches"
     )
     # Equal sets are one node, named by the smallest document.
     classes = stored(
@@ -293,7 +293,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi")
     texts = texts.repartition(parts, "node").distinct()
-    sets, sets_name = bucketed(texts.mapInArrow(_sets, "node long, shingles binary"), "sets", "node")
+    sets, sets_name = bucketed(texts.mapInArrow(lean(_sets), "node long, shingles binary"), "sets", "node")
 
     differ = (1 - percent / 100) / 2
     most = math.ceil(BITS * differ + 4 * math.sqrt(BITS * differ * (1 - differ)))

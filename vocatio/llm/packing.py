@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from vocatio.llm.tables import once_per_worker
+from vocatio.llm.tables import lean, once_per_worker
 
 KNOWN_WORDS = 300_000  # words whose ids a worker remembers, twice over; more cost time only
 
@@ -157,7 +157,7 @@ def pack(
                     arrays.append(pa.ListArray.from_arrays(pa.array(np.array(bounds, np.int32)), flat))
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
-    found = docs.select("doc_id", "text").mapInArrow(pieces, T.StructType(fields))
+    found = docs.select("doc_id", "text").mapInArrow(lean(pieces), T.StructType(fields))
     return found.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn(
         "offset", F.lit(0).cast("long")
     )

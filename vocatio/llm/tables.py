@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import time
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vocatio.sources.folders import fresh_folder
@@ -36,6 +39,15 @@ def bucketed(frame: DataFrame, purpose: str, column: str) -> tuple[DataFrame, st
     return spark.table(name), name
 
 
+def _without_idle(key=None) -> dict:
+    """What this worker holds, after what no task has asked for lately is let go."""
+    cache = sys.modules["pyspark"].__dict__.setdefault("_vocatio_llm", {})
+    now = time.monotonic()
+    for other in [k for k, (_, used) in cache.items() if k != key and now - used > IDLE_SECONDS]:
+        del cache[other]
+    return cache
+
+
 def once_per_worker(key, build):
     """What ``build`` makes, made once in this Python worker.
 
@@ -43,15 +55,32 @@ def once_per_worker(key, build):
     would be new for every task; this one hangs on an installed module. What no
     task has asked for lately is let go, as workers outlive their stage.
     """
-    cache = sys.modules["pyspark"].__dict__.setdefault("_vocatio_llm", {})
-    now = time.monotonic()
-    for other in [k for k, (_, used) in cache.items() if k != key and now - used > IDLE_SECONDS]:
-        del cache[other]
+    cache, now = _without_idle(key), time.monotonic()
     held = cache[key][0] if key in cache else build()
     cache[key] = (held, now)
     return held
 
 
+def _give_back() -> None:
+    """Hand the memory that this worker has freed, and what lies idle there, back to the system."""
+    _without_idle()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(function):
+    """A function over Arrow batches after which the worker keeps no freed memory: it outlives its stage."""
+
+    def run(batches):
+        yield from function(batches)
+        _give_back()
+
+    return run
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
