@@ -10,10 +10,13 @@ from vocatio.llm.tables import stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those without letters or like no language go."""
-    sample = language_id.labelled_sample(docs.filter("lang IS NOT NULL AND text IS NOT NULL"))
-    net = language_id.train(sample)
-    return language_id.keep_identified(docs, net, language_id.least_score(net, sample))
+    """Documents in a known language; those without letters or like no language go.
+
+    All rows are scored once; the least score comes from all that have a label.
+    """
+    net = language_id.fit(docs)
+    rows = stored(language_id.scored(docs, net), "language-scores")
+    return language_id.keep_scored(rows, language_id.least_score(net, rows.filter("lang IS NOT NULL")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from vocatio.llm.tables import id_remainder, texts_by_size
+from vocatio.llm.tables import id_remainder, lean, texts_by_size
 
 HIDDEN = 16
 LONGEST = 32  # bytes run together; a longer word is cut between characters, in training as in use
@@ -282,41 +282,72 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
                     names=fields.names,
                 )
 
-    return docs.select("doc_id", "text", lettered.alias("lettered")).mapInArrow(label, fields)
+    return docs.select("doc_id", "text", lettered.alias("lettered")).mapInArrow(lean(label), fields)
 
 
-def least_score(net: Network | None, sample: list[tuple[str, str]]) -> float:
+SCORE_STEPS = 1 << 16  # in which scores are counted
+
+
+def least_score(net: Network | None, labelled: list[tuple[str, str]] | DataFrame) -> float:
     """A score that texts of the learned languages reach: halfway from chance to their lowest hundredth.
 
-    Learned from the labelled sample, so it follows the number of languages; 0 without a network.
+    ``labelled`` are (language, text) pairs, or rows of ``scored``, however many: they are counted
+    by score in SCORE_STEPS steps, so a row per step at most comes back. The score follows the
+    number of languages; it is 0 without a network.
     """
     if net is None:
         return 0.0
-    scores = Pool(net)([text.encode() for _, text in sample if text.split()]).max(axis=1)
+    if isinstance(labelled, DataFrame):
+        step = F.floor(F.col(SCORE) * SCORE_STEPS)
+        counts = sorted((r["step"], r["count"]) for r in labelled.groupBy(step.alias("step")).count().collect())
+    else:
+        scores = Pool(net)([text.encode() for _, text in labelled if text.split()]).max(axis=1)
+        counts = list(zip(*np.unique(np.floor(scores * SCORE_STEPS), return_counts=True)))
+    if not counts:
+        return 0.0
+    steps, sizes = (np.array(column, np.float64) for column in zip(*counts))
+    reached = np.cumsum(sizes)
+    lowest = steps[np.searchsorted(reached, 0.01 * (reached[-1] - 1), side="right")] / SCORE_STEPS
     chance = 1 / len(net.langs)
-    return float(chance + (np.quantile(scores, 0.01) - chance) / 2) if len(scores) else 0.0
+    return float(chance + (lowest - chance) / 2)
 
 
-def keep_identified(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
-    """The rows whose language is known with a score of at least ``least``; columns as given.
+SCORE = "x_language_score"
 
-    A null text and one without letters go. Without a network nothing can be judged: only those go.
+
+def scored(docs: DataFrame, net: Network | None) -> DataFrame:
+    """The rows with a letter in their text and the probability of its likeliest language as x_language_score.
+
+    Null without a network, as nothing can be judged then.
     """
-    names = docs.columns
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    found = docs.filter(lettered)
+    found = docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     if net is None:
-        return found
+        return found.withColumn(SCORE, F.lit(None).cast("double"))
 
-    def keep(batches):
+    def score(batches):
         pool = Pool(net)
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
                 texts = [t.as_buffer().to_pybytes() for t in part.column("text")]
-                yield part.filter(pa.array(pool(texts).max(axis=1) >= least))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(pool(texts).max(axis=1))], names=[*part.schema.names, SCORE]
+                )
+
+    return found.mapInArrow(lean(score), T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())]))
+
+
+def keep_identified(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
+    """The rows whose language is known with a score of at least ``least``; columns as given.
+
+    A null text and one without letters go. Without a network nothing can be judged: only those go.
+    """
+    return keep_scored(scored(docs, net), least)
+
 
-    return found.mapInArrow(keep, docs.schema).select(*names)
+def keep_scored(rows: DataFrame, least: float) -> DataFrame:
+    """The rows of ``scored`` with at least that score, without it."""
+    return rows.filter(F.col(SCORE).isNull() | (F.col(SCORE) >= least)).drop(SCORE)
 
 
 def held_out():
