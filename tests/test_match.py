@@ -378,3 +378,20 @@ def test_default_rules_are_attached(spark, occupations):
     found = dictionaries.with_keywords(occupations).collect()
     words = {r["Level4_Name"]: r["rule_keywords"] for r in found}
     assert words["厨师"] is None and words["法官"] == fixed.SUSPICIOUS_OCCUPATIONS["法官"]
+
+
+def test_vectors_go_to_blocks_without_one_task_per_block(spark):
+    """Numbers of copies are broadcast, whatever Spark's threshold: a block's vectors are not brought together first."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(64)]
+    held = blocks.build_blocks(spark.createDataFrame(rows, "occ_idx int, embedding array<double>"), 1024)
+    rows = [(0, 0, i, b"\0" * 32) for i in range(100)]
+    sent = spark.createDataFrame(rows, "pivot int, part int, row long, vector binary")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = blocks._met(sent, held, 3, 10)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+        assert met.select("row").distinct().count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
