@@ -395,3 +395,19 @@ def test_vectors_go_to_blocks_without_one_task_per_block(spark):
         assert met.select("row").distinct().count() == 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_prompts_reach_the_model_in_slices(spark):
+    """However large the Arrow batch, few prompts are held as Python strings."""
+
+    def factory():
+        def generate(prompts):
+            if len(prompts) > models.PROMPTS_PER_CALL:
+                raise ValueError(f"{len(prompts)} prompts at once")
+            return [p + "!" for p in prompts]
+
+        return generate
+
+    asked = spark.range(0, 3000, 1, 1).select("id", F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("t"))
+    found = asked.select("id", models.generated(F.col("t"), factory).alias("g")).collect()
+    assert all(r["g"] == (f"{r['id']}!" if r["id"] % 3 else None) for r in found) and len(found) == 3000
