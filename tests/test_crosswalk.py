@@ -136,3 +136,25 @@ def test_reconciliation(spark):
     after = spark.createDataFrame([("2020",)] * 3 + [("2021",)] * 5 + [("2023",)], "year string")
     rows = sorted(tuple(r) for r in quality.reconcile(before, after).collect())
     assert rows == [("2020", 3, 3, 0, "equal"), ("2021", 2, 5, 3, "differs")]
+
+
+def test_marked_dimensions_stay_marked_when_joined(spark):
+    """The postings are not shuffled for a crosswalk whose mapping and details are both marked."""
+    matched = spark.createDataFrame(
+        [("1-1", "a", "1")], "match_Level4_Code string, match_Level1_Name string, match_Level1_Code string"
+    )
+    mapping = F.broadcast(spark.createDataFrame(
+        [("1-1", "11-0001.00", "t", 0.5, "high")],
+        "dadian_code string, onet_code string, onet_title string, similarity_score double, confidence string",
+    ))
+    detail = F.broadcast(spark.createDataFrame(
+        [("11-0001.00", "d", "x")], "`O*NET-SOC Code` string, Description string, All_Tasks string"
+    ))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = crosswalk.add_crosswalk(matched, mapping, detail, code_column="match_Level4_Code")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+        assert [r["onet_description"] for r in found.collect()] == ["d"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
